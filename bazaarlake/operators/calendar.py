@@ -13,7 +13,7 @@ STORES_PER_BLOCK = 10_000
 
 def date_bounds(spark: SparkSession, start: str, end: str) -> DataFrame:
     """One row with the columns ``first`` and ``last``."""
-    return spark.range(1).select(
+    return spark.range(0, 1, 1, 1).select(
         F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("last")
     )
 

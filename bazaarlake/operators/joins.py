@@ -110,8 +110,9 @@ def flag_orphans(
     fact's distinct keys (pre-aggregated before the shuffle, so a hot key costs one row
     per task) are reduced to the orphans, and those are what the fact is matched with.
     """
-    keys = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
-    if fits_broadcast(keys, limit):
+    listed = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
+    keys = listed.distinct()
+    if fits_broadcast(listed, limit):  # repeated keys only make the bound safer
         matched = fact.join(
             F.broadcast(keys.withColumn("_found", F.lit(True))), F.col(fk) == F.col("_pk"), "left"
         )

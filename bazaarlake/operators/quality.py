@@ -18,19 +18,32 @@ LANDED = "_landed"
 
 @dataclass(frozen=True)
 class Rule:
-    """A condition that makes a row invalid. An undecided (NULL) condition rejects too."""
+    """A SQL condition that makes a row invalid. An undecided (NULL) condition rejects too."""
 
     rule_id: str
-    invalid: Column
+    invalid: str
     reason: str
 
     @property
-    def broken(self) -> Column:
-        return F.coalesce(self.invalid, F.lit(True))
+    def broken(self) -> str:
+        return f"coalesce({self.invalid}, true)"
 
 
 def missing(reason: str, *columns: str) -> list[Rule]:
-    return [Rule(f"{c}_null", F.col(c).isNull(), reason) for c in columns]
+    return [Rule(f"{c}_null", f"{c} IS NULL", reason) for c in columns]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def first_broken(rules: list[Rule]) -> Column:
+    """(rule_id, reason) of the first broken rule, NULL when all hold."""
+    cases = " ".join(
+        f"WHEN {r.broken} THEN named_struct('rule_id', {_quoted(r.rule_id)}, 'reason', {_quoted(r.reason)})"
+        for r in rules
+    )
+    return F.expr(f"CASE {cases} END")
 
 
 # --- one condition at a time -------------------------------------------------------
@@ -92,14 +105,10 @@ def assess(
     for i, ref in enumerate(references):
         flag = f"_orphan_{i}"
         flagged = flag_orphans(flagged, ref.column, (parents or {})[ref.parent], ref.parent_key, flag, limit)
-        broken = F.col(flag) if ref.optional else F.col(flag) | F.col(ref.column).isNull()
+        broken = flag if ref.optional else f"{flag} OR {ref.column} IS NULL"
         chain.append(Rule(f"{ref.column}_orphan", broken, ref.reason))
     chain += late_rules or []
-    verdicts = [
-        F.when(r.broken, F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.reason).alias("reason")))
-        for r in chain
-    ]
-    return flagged.withColumn(VERDICT, F.coalesce(*verdicts)).select(*df.columns, VERDICT)
+    return flagged.select(*df.columns, first_broken(chain).alias(VERDICT))
 
 
 def accepted(assessed: DataFrame, columns: list[str]) -> DataFrame:
@@ -127,7 +136,7 @@ def length_rules(table: contract.Table) -> list[Rule]:
     return [
         Rule(
             f"{c.name}_too_long",
-            F.coalesce(F.length(c.name) > c.length, F.lit(False)),
+            f"coalesce(length({c.name}) > {c.length}, false)",
             contract.CONTRACT_REASON,
         )
         for c in table.columns
@@ -184,7 +193,7 @@ def reference_audit(
 
 def rule_counts(df: DataFrame, table_name: str, rules: list[Rule]) -> DataFrame:
     """How many rows break each rule on its own, in one pass."""
-    counts = df.agg(*[F.count_if(r.broken).alias(r.rule_id) for r in rules])
+    counts = df.agg(*[F.expr(f"count_if({r.broken})").alias(r.rule_id) for r in rules])
     return counts.select(
         F.explode(
             F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(r.rule_id).alias("nb_lignes")) for r in rules])

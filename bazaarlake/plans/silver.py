@@ -93,7 +93,7 @@ def _clean(
     return Cleaned(table, assessed, key or table.key, options)
 
 
-def _rules(table: contract.Table, required: list[str], **bounds: Column) -> list[Rule]:
+def _rules(table: contract.Table, required: list[str], **bounds: str) -> list[Rule]:
     reason = contract.REJECT_REASONS[table.name]
     return quality.missing(reason, *required) + [Rule(name, cond, reason) for name, cond in bounds.items()]
 
@@ -103,12 +103,12 @@ def _rules(table: contract.Table, required: list[str], **bounds: Column) -> list
 
 def clean_stores(landed: DataFrame, options: Options = DEFAULTS) -> Cleaned:
     t = contract.STORES
-    return _clean(t, landed, _rules(t, t.names, surface_not_positive=F.col("surface_m2") <= 0), options=options)
+    return _clean(t, landed, _rules(t, t.names, surface_not_positive="surface_m2 <= 0"), options=options)
 
 
 def clean_suppliers(landed: DataFrame, options: Options = DEFAULTS) -> Cleaned:
     t = contract.SUPPLIERS
-    rules = _rules(t, t.names, delai_negative=F.col("delai_livraison_jours") < 0)
+    rules = _rules(t, t.names, delai_negative="delai_livraison_jours < 0")
     return _clean(t, landed, rules, options=options)
 
 
@@ -118,7 +118,7 @@ def clean_products(landed: DataFrame, suppliers: DataFrame, options: Options = D
     rules = _rules(
         t,
         ["produit_nk", "nom", "categorie", "fournisseur_nk", *prices],
-        **{f"{p}_negative": F.col(p) < 0 for p in prices},
+        **{f"{p}_negative": f"{p} < 0" for p in prices},
     )
     return _clean(t, landed, rules, {"dim_fournisseur": suppliers}, options=options)
 
@@ -143,7 +143,7 @@ def clean_stock(landed: DataFrame, dims: dict[str, DataFrame], options: Options
     rules = _rules(
         t,
         ["date_snapshot", "produit_nk", "magasin_nk", "quantite_en_stock"],
-        quantite_negative=F.col("quantite_en_stock") < 0,
+        quantite_negative="quantite_en_stock < 0",
     )
     return _clean(t, landed, rules, dims, options=options)
 
@@ -153,7 +153,7 @@ def clean_orders(landed: DataFrame, dims: dict[str, DataFrame], options: Options
     rules = _rules(
         t,
         ["commande_nk", "fournisseur_nk", "magasin_nk", "date_commande", "montant_total_ht"],
-        montant_negative=F.col("montant_total_ht") < 0,
+        montant_negative="montant_total_ht < 0",
     )
     return _clean(t, landed, rules, dims, options=options)
 
@@ -166,8 +166,8 @@ def clean_order_lines(
     rules = _rules(
         t,
         ["commande_nk", "produit_nk", "quantite_commandee", "prix_unitaire_achat"],
-        quantite_not_positive=F.col("quantite_commandee") <= 0,
-        prix_negative=F.col("prix_unitaire_achat") < 0,
+        quantite_not_positive="quantite_commandee <= 0",
+        prix_negative="prix_unitaire_achat < 0",
     )
     return _clean(t, landed, rules, {**dims, "fait_commandes": orders}, options=options)
 
@@ -197,8 +197,8 @@ def clean_sales(landed: DataFrame, dims: dict[str, DataFrame], options: Options
     rules = _rules(
         t,
         ["ticket_nk", "produit_nk", "magasin_nk", "timestamp_vente", "quantite", "montant_ttc"],
-        quantite_not_positive=F.col("quantite") <= 0,
-        montant_ttc_negative=F.col("montant_ttc") < 0,
+        quantite_not_positive="quantite <= 0",
+        montant_ttc_negative="montant_ttc < 0",
     )
     return _clean(t, landed, rules, dims, readings, options, key=options.sales_key)
 
@@ -215,7 +215,7 @@ def clean_returns(landed: DataFrame, dims: dict[str, DataFrame], options: Option
             casts.to_day(F.col("date_vente_originale")), casts.to_day(F.col("date_retour"))
         )
     }
-    rules = _rules(t, required, quantite_not_positive=F.col("quantite_retournee") <= 0)
+    rules = _rules(t, required, quantite_not_positive="quantite_retournee <= 0")
     return _clean(t, landed, rules, dims, readings, options, not_required=waived)
 
 

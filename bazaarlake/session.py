@@ -25,6 +25,8 @@ def local_session(app: str = "bazaarlake", cpus: str | int = "*", shuffle_partit
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Call-site capture costs several driver round trips for each column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)

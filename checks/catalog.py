@@ -199,8 +199,8 @@ def _(r):
 def _(r):
     landed = r.bronze["fait_ventes"].select(*[casts.read_as(c).alias(c.name) for c in contract.SALES.columns])
     rules = [
-        quality.Rule("quantite_not_positive", F.col("quantite") <= 0, ""),
-        quality.Rule("montant_ttc_negative", F.col("montant_ttc") < 0, ""),
+        quality.Rule("quantite_not_positive", "quantite <= 0", ""),
+        quality.Rule("montant_ttc_negative", "montant_ttc < 0", ""),
         *quality.missing("", "client_nk"),
     ]
     return quality.rule_counts(landed, "fait_ventes", rules)

@@ -7,6 +7,7 @@ order number only, so their number can be computed without Spark.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,14 +54,16 @@ class Retailer:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._given: dict[str, DataFrame] = {}
         self.bronze = LazyTables({n: getattr(self, f"_land_{n}") for n in contract.TABLES})
         self.cleaned = LazyTables({n: getattr(self, f"_clean_{n}") for n in contract.TABLES})
         self.silver = LazyTables({n: (lambda n=n: self.cleaned[n].rows) for n in contract.TABLES})
         self.gold = LazyTables({n: getattr(self, f"_gold_{n}") for n in contract.TABLES})
-        self._keys = None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._given[name]
 
     # --- bronze ---------------------------------------------------------------------
 
@@ -68,7 +71,7 @@ class Retailer:
         return land(df, table, audit=False)
 
     def _one_row(self, **values: str) -> DataFrame:
-        return self.spark.range(1).select(*[F.lit(v).alias(n) for n, v in values.items()])
+        return self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(n) for n, v in values.items()])
 
     def _land_dim_magasin(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
@@ -287,7 +290,7 @@ class Retailer:
 
     # --- silver: parents are the valid rows, whose keys equal those of the final rows ---
 
-    @property
+    @cached_property
     def _parents(self) -> Mapping:
         return LazyTables({n: (lambda n=n: self.cleaned[n].valid) for n in contract.TABLES})
 
@@ -325,12 +328,10 @@ class Retailer:
 
     # --- gold ------------------------------------------------------------------------------
 
-    @property
+    @cached_property
     def keys(self) -> gold_plan.KeyMaps:
-        if self._keys is None:
-            names = ("dim_magasin", "dim_fournisseur", "dim_produit", "dim_client")
-            self._keys = gold_plan.KeyMaps({n: self.gold[n] for n in names})
-        return self._keys
+        names = ("dim_magasin", "dim_fournisseur", "dim_produit", "dim_client")
+        return gold_plan.KeyMaps({n: self.gold[n] for n in names})
 
     def _gold_dim_magasin(self):
         return gold_plan.build_stores(self.silver["dim_magasin"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 
@@ -62,15 +63,18 @@ def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(CHECKS)
     spark, connection = local_session(), connect(folder)
-    bad = 0
-    for name in names:
+
+    def one(name: str) -> bool:
         try:
-            verdict, took, sql_took = compare(spark, connection, name, folder)
+            verdict, took, sql_took = compare(spark, connection.cursor(), name, folder)
         except Exception as error:  # report and go on
             verdict, took, sql_took = f"ERROR {type(error).__name__}: {str(error)[:600]}", 0.0, 0.0
-        bad += not verdict.startswith(("ok", "rows-only"))
         print(f"{name:28s} {took:6.1f}s {sql_took:6.1f}s  {verdict}", flush=True)
-    print(f"{len(names)} queries, {bad} wrong")
+        return verdict.startswith(("ok", "rows-only"))
+
+    with ThreadPoolExecutor(4) as pool:
+        good = sum(pool.map(one, names))
+    print(f"{len(names)} queries, {len(names) - good} wrong")
 
 
 if __name__ == "__main__":
