@@ -21,8 +21,9 @@ def clean_text(value: Column, blank_as_null: bool = False) -> Column:
 
 def to_int(value: Column) -> Column:
     """Whole number with the fraction cut off; exponents and overflow give NULL."""
-    plain = F.when(~F.lower(value).contains("e"), value)
-    return plain.try_cast("decimal(38,6)").try_cast("int")
+    # Whole numbers take the short way; only what it cannot read is parsed as a decimal.
+    plain = F.when(~value.contains("e") & ~value.contains("E"), value)
+    return F.coalesce(value.try_cast("int"), plain.try_cast("decimal(38,6)").try_cast("int"))
 
 
 def to_decimal(value: Column, precision: int = 12, scale: int = 2) -> Column:

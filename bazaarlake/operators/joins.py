@@ -30,11 +30,11 @@ def row_bytes(schema: T.StructType) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's own size estimate of the optimised plan, if it can be read."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no JVM handle, as under a remote session
+    """Catalyst's own size estimate of the optimised plan; None under a remote session."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

@@ -168,7 +168,10 @@ class Retailer:
         joined = line.join(order, line.l_orderkey == order.o_orderkey).join(
             supplier, line.l_suppkey == supplier.s_suppkey
         )
-        price, discount, tax = (F.col(c).cast(EXACT) for c in ("l_extendedprice", "l_discount", "l_tax"))
+        # Widths that keep every product within 18 digits, where decimals are plain longs.
+        price = F.col("l_extendedprice").cast("decimal(12,2)")
+        discount, tax = (F.col(c).cast("decimal(3,2)") for c in ("l_discount", "l_tax"))
+        one = F.lit(1).cast("decimal(1,0)")
         typed = joined.select(
             "l_orderkey",
             "l_partkey",
@@ -179,17 +182,15 @@ class Retailer:
             "o_orderpriority",
             F.to_date("o_orderdate").alias("day"),
             F.col("l_quantity").cast("long").alias("quantity"),
-            price.alias("price"),
-            (price * (F.lit(1) - discount)).cast(EXACT).alias("net"),
+            (price * (one - discount)).cast("decimal(13,4)").alias("net"),
             tax.alias("tax"),
         )
-        return typed.withColumn("gross", (F.col("net") * (F.lit(1) + F.col("tax"))).cast("decimal(18,6)"))
+        return typed.withColumn("gross", (F.col("net") * (one + F.col("tax"))).cast("decimal(18,6)"))
 
     def _land_fait_ventes(self) -> DataFrame:
         order = F.col("l_orderkey")
-        sign = F.when(order % 100 == 11, -1).otherwise(1)
-        net = (F.col("net") * sign).cast(EXACT)
-        gross = (F.col("gross") * sign).cast("decimal(18,6)")
+        signed = lambda c: F.when(order % 100 == 11, -F.col(c)).otherwise(F.col(c))
+        net, gross = signed("net"), signed("gross")
         margin = (net * F.lit("0.2").cast("decimal(2,1)")).cast("decimal(18,5)")
         day = F.col("day").cast("string")
         quantity = F.when(order % 50 == 7, -(F.col("l_linenumber") % 3)).otherwise(F.col("quantity"))
