@@ -37,20 +37,21 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None, sized_by: DataFrame | None = None) -> bool:
     """Whether ``df`` is known to stay under ``limit`` bytes.
 
     Catalyst's estimate decides when it is already small. It multiplies sizes over joins,
-    so a large estimate proves nothing; then the rows are counted.
+    so a large estimate proves nothing; then the rows are counted, on ``sized_by`` if given.
     """
     limit = BROADCAST_BYTES if limit is None else limit
     if limit <= 0:
         return False
-    estimate = estimated_bytes(df)
+    measured = df if sized_by is None else sized_by
+    estimate = estimated_bytes(measured)
     # Files may unpack to several times their size, hence the margin.
     if estimate is not None and estimate * 8 <= limit:
         return True
-    return df.count() * row_bytes(df.schema) <= limit
+    return measured.count() * row_bytes(df.schema) <= limit
 
 
 def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
@@ -60,17 +61,29 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
 
 
 class Lookup:
-    """A parent table reduced to a unique key and the attributes to attach."""
+    """A parent table reduced to a unique key and the attributes to attach.
 
-    def __init__(self, parent: DataFrame, key: str, attributes: list[str], limit: int | None = None):
+    ``sized_by`` is an optional frame with the same number of rows (or more) that is
+    cheaper to count, such as the table the parent was numbered from.
+    """
+
+    def __init__(
+        self,
+        parent: DataFrame,
+        key: str,
+        attributes: list[str],
+        limit: int | None = None,
+        sized_by: DataFrame | None = None,
+    ):
         self.key = key
         self.attributes = attributes
         self.rows = parent.select(key, *attributes)
         self.limit = limit
+        self.sized_by = sized_by
 
     @cached_property
     def is_small(self) -> bool:
-        return fits_broadcast(self.rows, self.limit)
+        return fits_broadcast(self.rows, self.limit, self.sized_by)
 
     def attach(self, fact: DataFrame, how: str = "inner") -> DataFrame:
         """``fact`` with the attributes added; ``how`` is ``inner`` or ``left``."""

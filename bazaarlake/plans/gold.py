@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +35,20 @@ PARTITION_DATE = {
 
 
 class KeyMaps:
-    """Natural to surrogate key lookups, each measured once and shared by all facts."""
-
-    def __init__(self, dims: dict[str, DataFrame], limit: int | None = None):
+    """Natural to surrogate key lookups, each measured once and shared by all facts.
+
+    ``sized_by`` may name, per table, a cheaper frame to count (see ``Lookup``).
+    """
+
+    def __init__(
+        self,
+        dims: Mapping[str, DataFrame],
+        limit: int | None = None,
+        sized_by: Mapping[str, DataFrame] | None = None,
+    ):
+        sizes = sized_by or {}
         self._lookups = {
-            name: Lookup(df, contract.TABLES[name].key[0], [SURROGATE[name]], limit)
+            name: Lookup(df, contract.TABLES[name].key[0], [SURROGATE[name]], limit, sizes.get(name))
             for name, df in dims.items()
             if name != "dim_temps"
         }
@@ -73,10 +84,12 @@ def build_products(
     known: DataFrame | None = None,
     audit: bool = False,
     limit: int | None = None,
+    suppliers_sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """The supplier's natural key is replaced by its surrogate, NULL when unknown."""
     keyed = _dimension(silver, contract.PRODUCTS, known, audit)
-    joined = Lookup(suppliers, "fournisseur_nk", ["fournisseur_sk"], limit).attach(keyed, "left")
+    lookup = Lookup(suppliers, "fournisseur_nk", ["fournisseur_sk"], limit, suppliers_sized_by)
+    joined = lookup.attach(keyed, "left")
     order = [c if c != "fournisseur_nk" else "fournisseur_sk" for c in keyed.columns]
     return joined.select(*order)
 

@@ -165,7 +165,8 @@ class Retailer:
     def order_lines(self) -> DataFrame:
         """Line items with their order and the supplier's nation, amounts in exact decimals."""
         line, order, supplier = self.table("lineitem"), self.table("orders"), self.table("supplier")
-        joined = line.join(order, line.l_orderkey == order.o_orderkey).join(
+        # Both grow with the data, so they meet by shuffle; AQE splits a skewed order.
+        joined = line.join(order.hint("merge"), line.l_orderkey == order.o_orderkey).join(
             supplier, line.l_suppkey == supplier.s_suppkey
         )
         # Widths that keep every product within 18 digits, where decimals are plain longs.
@@ -332,7 +333,7 @@ class Retailer:
     @cached_property
     def keys(self) -> gold_plan.KeyMaps:
         names = ("dim_magasin", "dim_fournisseur", "dim_produit", "dim_client")
-        return gold_plan.KeyMaps({n: self.gold[n] for n in names})
+        return gold_plan.KeyMaps({n: self.gold[n] for n in names}, sized_by={n: self.bronze[n] for n in names})
 
     def _gold_dim_magasin(self):
         return gold_plan.build_stores(self.silver["dim_magasin"])
@@ -341,7 +342,11 @@ class Retailer:
         return gold_plan.build_suppliers(self.silver["dim_fournisseur"])
 
     def _gold_dim_produit(self):
-        return gold_plan.build_products(self.silver["dim_produit"], self.gold["dim_fournisseur"])
+        return gold_plan.build_products(
+            self.silver["dim_produit"],
+            self.gold["dim_fournisseur"],
+            suppliers_sized_by=self.bronze["dim_fournisseur"],
+        )
 
     def _gold_dim_client(self):
         return gold_plan.build_customers(self.silver["dim_client"])
