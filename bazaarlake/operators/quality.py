@@ -33,17 +33,45 @@ def missing(reason: str, *columns: str) -> list[Rule]:
     return [Rule(f"{c}_null", f"{c} IS NULL", reason) for c in columns]
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def first_broken(rules: list[Rule]) -> Column:
+    """Number (from 1) of the first broken rule, NULL when all hold.
 
+    A bare number keeps the generated code of the hot path small; names are looked up for
+    rejected rows only.
+    """
+    if not rules:
+        return F.lit(None).cast("int")
+    return F.expr("CASE " + " ".join(f"WHEN {r.broken} THEN {i}" for i, r in enumerate(rules, 1)) + " END")
 
-def first_broken(rules: list[Rule]) -> Column:
-    """(rule_id, reason) of the first broken rule, NULL when all hold."""
-    cases = " ".join(
-        f"WHEN {r.broken} THEN named_struct('rule_id', {_quoted(r.rule_id)}, 'reason', {_quoted(r.reason)})"
-        for r in rules
-    )
-    return F.expr(f"CASE {cases} END")
+
+@dataclass(frozen=True)
+class Assessed:
+    """Rows with a verdict column and the rules its numbers stand for."""
+
+    frame: DataFrame
+    rules: tuple[Rule, ...]
+
+    def _name(self, names: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(VERDICT))
+
+    @property
+    def reason(self) -> Column:
+        return self._name([r.reason for r in self.rules])
+
+    @property
+    def rule_id(self) -> Column:
+        return self._name([r.rule_id for r in self.rules])
+
+    def accepted(self, columns: list[str]) -> DataFrame:
+        return self.frame.where(F.col(VERDICT).isNull()).select(*columns)
+
+    def rejected(self, table_name: str, document: Column) -> DataFrame:
+        return self.frame.where(F.col(VERDICT).isNotNull()).select(
+            F.lit(table_name).alias("table_name"),
+            document.alias("record_data"),
+            self.reason.alias("reason"),
+            self.rule_id.alias("rule_id"),
+        )
 
 
 # --- one condition at a time -------------------------------------------------------
@@ -94,8 +122,8 @@ def assess(
     parents: dict[str, DataFrame] | None = None,
     late_rules: list[Rule] | None = None,
     limit: int | None = None,
-) -> DataFrame:
-    """Adds a verdict (NULL = accepted) naming the first broken rule.
+) -> Assessed:
+    """Adds a verdict (NULL = accepted): the number of the first broken rule.
 
     Order: ``rules``, then the references, then ``late_rules``; the outcome equals
     applying them one after the other, with the rows read once.
@@ -108,20 +136,7 @@ def assess(
         broken = flag if ref.optional else f"{flag} OR {ref.column} IS NULL"
         chain.append(Rule(f"{ref.column}_orphan", broken, ref.reason))
     chain += late_rules or []
-    return flagged.select(*df.columns, first_broken(chain).alias(VERDICT))
-
-
-def accepted(assessed: DataFrame, columns: list[str]) -> DataFrame:
-    return assessed.where(F.col(VERDICT).isNull()).select(*columns)
-
-
-def rejected(assessed: DataFrame, table_name: str, document: Column) -> DataFrame:
-    return assessed.where(F.col(VERDICT).isNotNull()).select(
-        F.lit(table_name).alias("table_name"),
-        document.alias("record_data"),
-        F.col(f"{VERDICT}.reason").alias("reason"),
-        F.col(f"{VERDICT}.rule_id").alias("rule_id"),
-    )
+    return Assessed(flagged.select(*df.columns, first_broken(chain).alias(VERDICT)), tuple(chain))
 
 
 # --- rules drawn from the contract ---------------------------------------------------

@@ -47,26 +47,28 @@ class Cleaned:
     """A checked table: every landed row is in ``valid`` or in ``rejects``."""
 
     table: contract.Table
-    assessed: DataFrame
+    assessed: quality.Assessed
     key: tuple[str, ...]
     options: Options = field(default=DEFAULTS)
 
     @property
     def valid(self) -> DataFrame:
-        return quality.accepted(self.assessed, self.table.names)
+        return self.assessed.accepted(self.table.names)
 
     @property
     def rows(self) -> DataFrame:
         """The silver rows: one per business key."""
         return keep_first(self.valid, list(self.key))
 
+    @property
+    def document(self) -> Column:
+        """The quarantine document of a row: as landed, or as cast."""
+        row = F.col(quality.LANDED) if self.options.record_data == "raw" else F.struct(*self.table.names)
+        return F.to_json(row, {"ignoreNullFields": "false"})
+
     @property
     def rejects(self) -> DataFrame:
-        if self.options.record_data == "raw":
-            document = F.to_json(F.col(quality.LANDED), {"ignoreNullFields": "false"})
-        else:
-            document = F.to_json(F.struct(*self.table.names), {"ignoreNullFields": "false"})
-        return quality.rejected(self.assessed, self.table.name, document)
+        return self.assessed.rejected(self.table.name, self.document)
 
 
 def _clean(
@@ -88,7 +90,9 @@ def _clean(
     typed = landed.select(F.struct(*kept).alias(quality.LANDED), *columns)
     late = []
     if options.enforce_contract:
-        late = quality.required_rules(table, skip=not_required) + quality.length_rules(table)
+        covered = {r.rule_id for r in rules}
+        required = [r for r in quality.required_rules(table, skip=not_required) if r.rule_id not in covered]
+        late = required + quality.length_rules(table)
     assessed = quality.assess(typed, rules, table.references, parents, late, options.broadcast_limit)
     return Cleaned(table, assessed, key or table.key, options)
 

@@ -23,14 +23,11 @@ def _store(lake: Lake, cleaned: Cleaned, audit: bool) -> DataFrame:
     """
     name = cleaned.table.name
     failed = F.col(quality.VERDICT).isNotNull()
-    document = F.when(failed, F.to_json(F.col(quality.LANDED), {"ignoreNullFields": "false"}))
-    if cleaned.options.record_data != "raw":
-        document = F.when(failed, F.to_json(F.struct(*cleaned.table.names), {"ignoreNullFields": "false"}))
-    staged = cleaned.assessed.select(
+    staged = cleaned.assessed.frame.select(
         *cleaned.table.names,
-        document.alias("record_data"),
-        F.col(f"{quality.VERDICT}.reason").alias("reason"),
-        F.col(f"{quality.VERDICT}.rule_id").alias("rule_id"),
+        F.when(failed, cleaned.document).alias("record_data"),
+        cleaned.assessed.reason.alias("reason"),
+        cleaned.assessed.rule_id.alias("rule_id"),
         failed.alias("rejected"),
     )
     path = lake.path("staging", name)

@@ -53,9 +53,9 @@ def test_cascade_equals_one_rule_after_the_other(spark):
         expected["third"] = bad.count()
         rest, bad = quality.split_invalid(rest, F.col("v") == 4, "t", "last")
         expected["last"] = bad.count()
-        got = quality.rejected(tagged, "t", F.lit("")).groupBy("reason").count()
+        got = tagged.rejected("t", F.lit("")).groupBy("reason").count()
         assert {r[0]: r[1] for r in got.collect()} == expected
-        assert rows(quality.accepted(tagged, ["i"]), "i") == rows(rest, "i")
+        assert rows(tagged.accepted(["i"]), "i") == rows(rest, "i")
 
 
 def test_contract_rules(spark):
