@@ -18,19 +18,13 @@ from checks.catalog import CHECKS  # noqa: E402
 
 HEADLINE = [
     "clean_fait_ventes",
-    "rejects_summary",
     "gold_fait_ventes",
     "sales_monthly",
     "kpi_global",
-    "kpi_filtered",
     "store_perf",
-    "product_perf",
     "customer_perf",
     "stock_mgmt",
     "returns_analysis",
-    "segments",
-    "events_roundtrip",
-    "recon_silver",
 ]
 
 
