@@ -52,7 +52,7 @@ class Assessed:
     rules: tuple[Rule, ...]
 
     def _name(self, names: list[str]) -> Column:
-        return F.element_at(F.array(*[F.lit(n) for n in names]), F.col(VERDICT))
+        return F.get(F.array(*[F.lit(n) for n in names]), F.col(VERDICT) - 1)
 
     @property
     def reason(self) -> Column:
