@@ -72,7 +72,7 @@ def main() -> None:
         print(f"{name:28s} {took:6.1f}s {sql_took:6.1f}s  {verdict}", flush=True)
         return verdict.startswith(("ok", "rows-only"))
 
-    with ThreadPoolExecutor(4) as pool:
+    with ThreadPoolExecutor(6) as pool:
         good = sum(pool.map(one, names))
     print(f"{len(names)} queries, {len(names) - good} wrong")
 
