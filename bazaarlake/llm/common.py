@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,12 +15,28 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once a session."""
+    context = spark.sparkContext
+    if getattr(context, "_bazaarlake_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    path = Path(tempfile.mkdtemp(prefix="bazaarlake-code-")) / "bazaarlake.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted((root / "bazaarlake").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    context.addPyFile(str(path))
+    context._bazaarlake_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a folder of our own only in local mode where it is unset."""
+    ship(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):

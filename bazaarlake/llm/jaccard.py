@@ -8,9 +8,10 @@ so they share one of their first s - ceil(0.8 s) + 1 shingles, and two of one mo
   of theirs, and so do light sets that are large enough to link to a heavy one. The boundary is the size at which the
   rows of both sides cost least, from a histogram of set sizes.
 * A Bloom filter of keys seen twice leaves the keys of one set only where they are; the others are shuffled.
+* Shingles of a prefix that no other set has bound what a set can share; pairs beyond that bound are not candidates.
 * A key with many sets is not spread into pairs. Its most central set leads: all others are compared with it. What links
-  falls into one component and needs no more comparing; sets whose distances to the leader differ by more than 0.2 cannot link
-  (Jaccard distance is a metric). Next leaders are chosen among the rest until few sets are left, whose pairs are listed.
+  falls into one component and needs no more comparing, and what a set shares with the leader bounds what it shares with others.
+  After two leaders only the pairs that are still open are listed.
 * Every candidate pair is verified on the whole sets. Components come from rounds of joins that end when nothing changes.
 
 Equal sets are one node from the start, so copies cost nothing. Repeated rows are copies. Null ids: a component's id is the
@@ -34,10 +35,11 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # 0.8
 BYTES = 5  # kept of a shingle's hash
 SLOTS = 1 << 20  # of the table of counts
-LISTED = 32  # sets of a key whose pairs are listed
+LISTED = 32  # sets of a key whose pairs are listed at once
+LEADER_ROUNDS = 2  # for keys of more sets, before the pairs that are still open are listed
 LARGEST_LIGHT = 64
 SCAN_COST = 2.0  # of a list entry, in rows of subsets
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -168,7 +170,10 @@ class Keys:
 
 
 def postings(sets: DataFrame, keys: Keys) -> DataFrame:
-    """key, node, n, central of every key that is not of one set alone."""
+    """key, node, n, central, room of every key that is not of one set alone.
+
+    Shingles of a heavy set's prefix that no other set has cannot be shared: ``room`` is the set's size without them.
+    """
     spark = sets.sparkSession
     shared = spark.sparkContext.broadcast(keys)
     source = sets.where("n >= 4").select("tokens", "node", "n")
@@ -187,18 +192,20 @@ def postings(sets: DataFrame, keys: Keys) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             for raw, node, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 own, central = shared.value.of(unpack(raw))
-                own = own[holds(twice.value, positions(doubled(own), bits))]
+                again = holds(twice.value, positions(doubled(own), bits))
+                alone = int((~again).sum()) if n > shared.value.boundary else 0
+                own = own[again]
                 out[0].append(own.view(np.int64))
-                for k, value in ((1, node), (2, n), (3, central)):
+                for k, value in ((1, node), (2, n), (3, central), (4, n - alone)):
                     out[k].append(np.full(len(own), value, np.int64))
             if out[0]:
-                yield _batch({c: (np.concatenate(v), pa.int64()) for c, v in zip(("key", "node", "n", "central"), out)})
+                yield _batch({c: (np.concatenate(v), pa.int64()) for c, v in zip(("key", "node", "n", "central", "room"), out)})
 
-    rows = source.mapInArrow(run, "key long, node long, n long, central long")
-    return rows.groupBy("key", "node").agg(F.max("n").alias("n"), F.max("central").alias("central"))
+    rows = source.mapInArrow(run, "key long, node long, n long, central long, room long")
+    return rows.groupBy("key", "node").agg(*[F.max(c).alias(c) for c in ("n", "central", "room")])
 
 
 def with_sets(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -260,49 +267,65 @@ def labelled(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _can_link(room: str, n: str, other_room: str, other_n: str):
+    """No intersection is larger than the room of either set; 0.8 of the union asks for 4/9 of both sizes."""
+    least = F.least(F.col(room), F.col(other_room))
+    return least * (NUMERATOR + DENOMINATOR) >= (F.col(n) + F.col(other_n)) * NUMERATOR
+
+
+def _live(rows: DataFrame) -> DataFrame:
+    """The postings of keys whose sets are not all of one part, with the number of sets and the most central one."""
+    groups = rows.groupBy("key").agg(
+        F.count("*").alias("many"), F.min("part").alias("low"), F.max("part").alias("high"),
+        F.max(F.struct("central", "node", "n", "room", "part")).alias("lead"),
+    )
+    return store(rows.join(groups.where(F.col("low") != F.col("high")).select("key", "many", "lead"), "key"), "live")
+
+
+def _after_leaders(live: DataFrame, checked: DataFrame) -> DataFrame:
+    """The postings after a round: what links to a leader takes its part, and everything what it shares with the key's leader."""
+    star = checked.where(_linked()).groupBy("b").agg(F.min("a").alias("star"))
+    star = store(star.select(F.col("b").alias("_node"), "star"), "stars")
+    up = star.select(F.col("_node").alias("_up"), F.col("star").alias("_upper"))
+    star = star.join(up, F.col("star") == F.col("_up"), "left").select("_node", F.coalesce("_upper", "star").alias("_star"))
+    met = checked.select(F.col("a").alias("_lead"), F.col("b").alias("_b"), F.col("common").alias("_shared"))
+    led = F.col("many") > LISTED
+    rest = live.where(~led | (F.col("node") != F.col("lead.node")))
+    rest = rest.select("key", "node", "n", "central", "room", "part", "shared", F.when(led, F.col("lead.node")).alias("_by"))
+    rest = rest.join(star, F.col("node") == F.col("_node"), "left")
+    rest = rest.join(met, (F.col("_by") == F.col("_lead")) & (F.col("node") == F.col("_b")), "left")
+    return rest.select("key", "node", "n", "central", "room", F.coalesce("_star", "part").alias("part"), F.coalesce("_shared", "shared").alias("shared"))
+
+
 def links(sets: DataFrame) -> DataFrame:
     """a_sig, b_sig: links whose components are those of all links of the join."""
-    sizes = {r["n"]: r["c"] for r in sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_LIGHT)).groupBy("n").agg(F.count("*").alias("c")).collect()}
-    found = store(postings(sets, Keys(frequency_classes(sets), light_boundary(sizes))), "postings")
-    live = found.withColumn("part", F.col("node")).withColumn("away", F.lit(None).cast("double"))
-    all_links: DataFrame | None = None
-    listed = False
-    while not listed:
-        # Keys whose sets are of one component are done.
-        groups = live.groupBy("key").agg(
-            F.count("*").alias("many"), F.min("part").alias("low"), F.max("part").alias("high"),
-            F.max(F.struct("central", "node", "n", "part")).alias("lead"),
-        )
-        groups = groups.where(F.col("low") != F.col("high")).select("key", "many", "lead")
-        live = store(live.join(groups, "key"), "live")
-        largest = live.agg(F.max("many")).first()[0]
-        if largest is None:
-            break
-        near_size = lambda x, y: (F.col(x) * DENOMINATOR >= F.col(y) * NUMERATOR) & (F.col(y) * DENOMINATOR >= F.col(x) * NUMERATOR)
-        listed = largest <= LISTED
-        if listed:
-            other = live.select("key", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("part").alias("b_part"), F.col("away").alias("b_away"))
-            apart = F.coalesce(F.abs(F.col("away") - F.col("b_away")) > 0.2 + 1e-9, F.lit(False))
-            pairs = live.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("part") != F.col("b_part")) & near_size("n", "b_n") & ~apart)
-            pairs = pairs.select(F.col("node").alias("a"), "b")
-        else:
-            led = (F.col("node") != F.col("lead.node")) & (F.col("part") != F.col("lead.part")) & near_size("n", "lead.n")
-            pairs = live.where(led).select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
-        pairs = store(pairs.distinct(), "pairs")
-        checked = store(verified(sets, pairs), "verified")
-        new = checked.where(_linked()).select("a", "b", "a_sig", "b_sig")
-        all_links = new if all_links is None else all_links.union(new)
-        if listed:
-            break
-        parts = labelled(all_links).select(F.col("node").alias("_node"), "label")
-        away = checked.select(F.col("a").alias("_lead"), F.col("b").alias("_b"), (1 - F.col("common") / F.col("joint")).alias("_away"))
-        live = live.where(F.col("node") != F.col("lead.node")).withColumn("_lead_node", F.col("lead.node")).drop("many", "lead")
-        live = live.join(parts, live["node"] == F.col("_node"), "left").withColumn("part", F.coalesce("label", "node")).drop("_node", "label")
-        live = live.join(away, (F.col("_lead_node") == F.col("_lead")) & (F.col("node") == F.col("_b")), "left")
-        live = live.select("key", "node", "n", "central", "part", F.coalesce("_away", "away").alias("away"))
-    if all_links is None:
-        return sets.sparkSession.createDataFrame([], "a_sig binary, b_sig binary")
-    return all_links.select("a_sig", "b_sig").distinct()
+    small = sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_LIGHT)).groupBy("n").agg(F.count("*").alias("c"))
+    keys = Keys(frequency_classes(sets), light_boundary({r["n"]: r["c"] for r in small.collect()}))
+    rows = store(postings(sets, keys), "postings")
+    live = _live(rows.withColumn("part", F.col("node")).withColumn("shared", F.lit(None).cast("long")))
+    found = []
+    for _ in range(LEADER_ROUNDS):
+        led = (F.col("many") > LISTED) & (F.col("node") != F.col("lead.node")) & (F.col("part") != F.col("lead.part"))
+        pairs = live.where(led & _can_link("room", "n", "lead.room", "lead.n")).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+        checked = store(verified(sets, store(pairs, "pairs")), "verified")
+        found.append(checked)
+        live = _live(_after_leaders(live, checked))
+    other = live.select("key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "room", "part", "shared")])
+    # Both have met the same leader, that of the last round in which the key had one: what two sets share lies within what
+    # each shares with the leader, or outside of it within what each has room for.
+    within = F.least("shared", "b_shared") + F.least(F.col("room") - F.col("shared"), F.col("b_room") - F.col("b_shared"))
+    enough = within * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("b_n")) * NUMERATOR
+    met = F.col("shared").isNotNull() & F.col("b_shared").isNotNull()
+    listed = live.join(other, "key").where(
+        (F.col("node") < F.col("b_node")) & (F.col("part") != F.col("b_part")) & _can_link("room", "n", "b_room", "b_n") & (~met | enough)
+    )
+    pairs = listed.select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
+    found.append(verified(sets, store(pairs, "pairs")))
+    linked = [f.where(_linked()).select("a_sig", "b_sig") for f in found]
+    out = linked[0]
+    for more in linked[1:]:
+        out = out.union(more)
+    return out.distinct()
 
 
 def components(docs: DataFrame) -> DataFrame:
