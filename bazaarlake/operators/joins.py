@@ -1,140 +1,53 @@
 """Key lookups: a fact joined to a parent that is unique on its key.
 
-A parent is broadcast only when its size has been checked against a bound. Beyond the
-bound the join shuffles, and the keys that may hold a large part of the fact are taken
-out of the shuffle first:
-
-* the ``HOT_KEYS`` most frequent keys of the fact are matched map-side, against the at
-  most ``HOT_KEYS`` parent rows that carry them;
-* NULL keys never enter the shuffle;
-* what is left has no key above 1/``HOT_KEYS`` of the rows and joins by shuffle.
-
-Every row takes exactly one of these ways, so the result is the plain join.
+Each lookup is one join, so the fact stands once in the plan, and building it runs no job. Spark picks the strategy at
+run time from real sizes (``autoBroadcastJoinThreshold``, adaptive execution) and splits skewed partitions. Where a key is
+known to hold a large part of the fact, ``salts`` spreads it beforehand.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1024
-
-
-def row_bytes(schema: T.StructType) -> int:
-    """A per-row memory allowance: 64 bytes a text, 16 a number."""
-    return 16 + sum(64 if isinstance(f.dataType, T.StringType) else 16 for f in schema.fields)
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's own size estimate of the optimised plan; None under a remote session."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None, sized_by: DataFrame | None = None) -> bool:
-    """Whether ``df`` is known to stay under ``limit`` bytes.
-
-    Catalyst's estimate decides when it is already small. It multiplies sizes over joins,
-    so a large estimate proves nothing; then the rows are counted, on ``sized_by`` if given.
-    """
-    limit = BROADCAST_BYTES if limit is None else limit
-    if limit <= 0:
-        return False
-    measured = df if sized_by is None else sized_by
-    estimate = estimated_bytes(measured)
-    # Files may unpack to several times their size, hence the margin.
-    if estimate is not None and estimate * 8 <= limit:
-        return True
-    return measured.count() * row_bytes(df.schema) <= limit
-
-
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent non-NULL keys: a bounded frame of one column."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    return counts.orderBy(F.desc("count"), F.asc(key)).limit(limit).select(key)
 
 
 class Lookup:
     """A parent table reduced to a unique key and the attributes to attach.
 
-    ``sized_by`` is an optional frame with the same number of rows (or more) that is
-    cheaper to count, such as the table the parent was numbered from.
+    ``salts`` above 1 spreads every key of the fact over that many join keys and repeats the parent's rows as often.
+    ``strategy`` is a join hint such as ``merge``; without it Spark chooses.
     """
 
     def __init__(
-        self,
-        parent: DataFrame,
-        key: str,
-        attributes: list[str],
-        limit: int | None = None,
-        sized_by: DataFrame | None = None,
+        self, parent: DataFrame, key: str, attributes: list[str], salts: int = 1, strategy: str | None = None
     ):
         self.key = key
         self.attributes = attributes
-        self.rows = parent.select(key, *attributes)
-        self.limit = limit
-        self.sized_by = sized_by
-
-    @cached_property
-    def is_small(self) -> bool:
-        return fits_broadcast(self.rows, self.limit, self.sized_by)
+        self.salts = salts
+        rows = parent.select(key, *attributes)
+        if salts > 1:
+            rows = rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        self.rows = rows.hint(strategy) if strategy else rows
 
     def attach(self, fact: DataFrame, how: str = "inner") -> DataFrame:
         """``fact`` with the attributes added; ``how`` is ``inner`` or ``left``."""
         if how not in ("inner", "left"):
             raise ValueError(f"unsupported lookup join: {how}")
-        if self.is_small:
-            return fact.join(F.broadcast(self.rows), self.key, how)
-        return self._attach_by_shuffle(fact, how)
-
-    def _attach_by_shuffle(self, fact: DataFrame, how: str) -> DataFrame:
-        hot = hot_keys(fact, self.key)
-        found = self.rows.join(F.broadcast(hot), self.key, "left_semi").withColumn("_found", F.lit(True))
-        # Hot keys without a parent row are settled here too, so they never shuffle.
-        hot_rows = hot.join(F.broadcast(found), self.key, "left").withColumn("_hot", F.lit(True))
-        marked = fact.join(F.broadcast(hot_rows), self.key, "left")
-        output = [self.key] + [c for c in fact.columns if c != self.key] + self.attributes
-        if how == "inner":
-            settled = F.col("_found").isNotNull()
-        else:
-            settled = F.col("_hot").isNotNull() | F.col(self.key).isNull()
-        rest = marked.where(F.col("_hot").isNull() & F.col(self.key).isNotNull())
-        rest = rest.drop("_hot", "_found", *self.attributes).join(self.rows, self.key, how)
-        return marked.where(settled).select(*output).unionByName(rest.select(*output))
+        if self.salts == 1:
+            return fact.join(self.rows, self.key, how)
+        # The salt depends on the row alone, so a retried task deals it the same way.
+        salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(self.salts)).cast("int"))
+        return salted.join(self.rows, [self.key, "_salt"], how).drop("_salt")
 
 
 def flag_orphans(
-    fact: DataFrame,
-    fk: str,
-    parent: DataFrame,
-    pk: str,
-    flag: str,
-    limit: int | None = None,
+    fact: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str, salts: int = 1, strategy: str | None = None
 ) -> DataFrame:
-    """Adds the boolean ``flag``: the key is set and no parent row carries it.
-
-    The parent may repeat its key. A large parent is never joined to the fact rows: the
-    fact's distinct keys (pre-aggregated before the shuffle, so a hot key costs one row
-    per task) are reduced to the orphans, and those are what the fact is matched with.
-    """
-    listed = parent.select(F.col(pk).alias("_pk")).where(F.col("_pk").isNotNull())
-    keys = listed.distinct()
-    if fits_broadcast(listed, limit):  # repeated keys only make the bound safer
-        matched = fact.join(
-            F.broadcast(keys.withColumn("_found", F.lit(True))), F.col(fk) == F.col("_pk"), "left"
-        )
-        missing = F.col(fk).isNotNull() & F.col("_found").isNull()
-        return matched.withColumn(flag, missing).drop("_pk", "_found")
-    used = fact.select(F.col(fk).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
-    orphans = used.join(keys, "_pk", "left_anti").select(F.col("_pk").alias(fk), F.lit(True).alias(flag))
-    found = Lookup(orphans, fk, [flag], limit).attach(fact, "left")
-    return found.select(*fact.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
+    """Adds the boolean ``flag``: the key is set and no parent row carries it. The parent may repeat its key."""
+    keys = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct().withColumn("_found", F.lit(True))
+    found = Lookup(keys, fk, ["_found"], salts, strategy).attach(fact, "left")
+    missing = F.col(fk).isNotNull() & F.col("_found").isNull()
+    return found.select(*fact.columns, missing.alias(flag))
 
 
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -150,9 +63,9 @@ def matched_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataF
 
 
 def with_default(
-    df: DataFrame, values: DataFrame, key: str, column: str, default, limit: int | None = None
+    df: DataFrame, values: DataFrame, key: str, column: str, default
 ) -> DataFrame:
     """Writes ``values.column`` back into ``df`` by key; keys without a value get ``default``."""
     computed = values.select(key, F.col(column).alias("_computed"))
-    joined = Lookup(computed, key, ["_computed"], limit).attach(df.drop(column), "left")
+    joined = Lookup(computed, key, ["_computed"]).attach(df.drop(column), "left")
     return joined.withColumn(column, F.coalesce(F.col("_computed"), F.lit(default))).drop("_computed")

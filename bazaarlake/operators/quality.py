@@ -98,10 +98,10 @@ def split_orphans(
     table_name: str,
     reason: str,
     optional: bool = False,
-    limit: int | None = None,
+    strategy: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose key resolves, reject records). ``optional`` accepts a NULL key."""
-    flagged = flag_orphans(df, fk, parent, pk, "_orphan", limit)
+    flagged = flag_orphans(df, fk, parent, pk, "_orphan", strategy=strategy)
     broken = F.col("_orphan") if optional else F.col("_orphan") | F.col(fk).isNull()
     valid, rejected = flagged.where(~broken), flagged.where(broken)
     records = rejected.select(
@@ -121,7 +121,7 @@ def assess(
     references: tuple[contract.Reference, ...] = (),
     parents: dict[str, DataFrame] | None = None,
     late_rules: list[Rule] | None = None,
-    limit: int | None = None,
+    strategy: str | None = None,
 ) -> Assessed:
     """Adds a verdict (NULL = accepted): the number of the first broken rule.
 
@@ -132,7 +132,7 @@ def assess(
     chain = list(rules)
     for i, ref in enumerate(references):
         flag = f"_orphan_{i}"
-        flagged = flag_orphans(flagged, ref.column, (parents or {})[ref.parent], ref.parent_key, flag, limit)
+        flagged = flag_orphans(flagged, ref.column, (parents or {})[ref.parent], ref.parent_key, flag, strategy=strategy)
         broken = flag if ref.optional else f"{flag} OR {ref.column} IS NULL"
         chain.append(Rule(f"{ref.column}_orphan", broken, ref.reason))
     chain += late_rules or []

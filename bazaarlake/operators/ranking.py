@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,17 @@ def top_n(df: DataFrame, measure: str, n: int, *ties: str) -> DataFrame:
     return descending(df, measure, *ties).limit(n)
 
 
+def at_highest(column: Column | str, measure: str, tie: str) -> Column:
+    """An aggregate: ``column`` of the row with the highest measure; NULL measures do not count."""
+    value = F.col(measure)
+    return F.min_by(column, F.when(value.isNotNull(), F.struct(-value, F.col(tie))))
+
+
+def at_lowest(column: Column | str, measure: str, tie: str) -> Column:
+    value = F.col(measure)
+    return F.min_by(column, F.when(value.isNotNull(), F.struct(value, F.col(tie))))
+
+
 def highest(df: DataFrame, measure: str, *ties: str) -> DataFrame:
     return top_n(df.where(F.col(measure).isNotNull()), measure, 1, *ties)
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import contract
 from bazaarlake.functions.amounts import percent, quotient, ratio, vat_amount, vat_share
 from bazaarlake.functions.text import month_label, quarter_label, without
 from bazaarlake.operators.joins import matched_rows
-from bazaarlake.operators.ranking import ascending, descending, highest, lowest, top_n
+from bazaarlake.operators.ranking import ascending, at_highest, at_lowest, descending, highest, top_n
 from bazaarlake.plans import views
 from bazaarlake.plans.views import Gold
 
@@ -26,10 +26,6 @@ def only_store(view: DataFrame, store: str | None, column: str = "magasin_nom")
     return view if name is None else view.where(F.col(column) == F.lit(name))
 
 
-def _as_one_row(frame: DataFrame, **extra: Column) -> DataFrame:
-    return frame.select("*", *[c.alias(n) for n, c in extra.items()])
-
-
 # --- queries ---------------------------------------------------------------------------
 
 
@@ -75,6 +71,8 @@ def active_customers(gold: Gold, year: int | None = None, store: str | None = No
     sales = gold["fait_ventes"]
     if year is not None:
         sales = sales.where(F.col("date_sk").between(year * 10000 + 101, year * 10000 + 1231))
+        if "annee_mois" in sales.columns:  # prunes the partitions of the written table
+            sales = sales.where(F.col("annee_mois").between(year * 100 + 1, year * 100 + 12))
     if store is not None:
         shops = gold["dim_magasin"].where(F.col("nom") == store)
         sales = matched_rows(sales, "magasin_sk", shops, "magasin_sk")
@@ -233,21 +231,15 @@ def store_benchmark(gold: Gold, prefix: str = "") -> DataFrame:
     """Leading store, mean sales and surface per store, best margin, lowest return rate: one row."""
     stores = views.store_performance(gold, ordered=False)
     name = without(F.col("magasin_nom"), prefix) if prefix else F.col("magasin_nom")
-    top = highest(stores, "chiffre_affaires_ttc", "magasin_nk")
-    margin = highest(stores, "taux_marge_pct", "magasin_nk")
-    returned = lowest(stores, "taux_retour_pct", "magasin_nk")
-    means = stores.agg(
+    return stores.agg(
         quotient(F.sum("ca_par_m2"), F.count("ca_par_m2")).alias("ca_par_m2_moyen"),
         quotient(F.sum("surface_m2"), F.count("surface_m2")).alias("surface_moyenne_m2"),
-    )
-    return _as_one_row(
-        means,
-        magasin_leader=top.select(name).scalar(),
-        ca_leader=top.select("chiffre_affaires_ttc").scalar(),
-        magasin_meilleure_marge=margin.select(name).scalar(),
-        meilleur_taux_marge_pct=margin.select("taux_marge_pct").scalar(),
-        magasin_moins_de_retours=returned.select(name).scalar(),
-        plus_faible_taux_retour_pct=returned.select("taux_retour_pct").scalar(),
+        at_highest(name, "chiffre_affaires_ttc", "magasin_nk").alias("magasin_leader"),
+        F.max("chiffre_affaires_ttc").alias("ca_leader"),
+        at_highest(name, "taux_marge_pct", "magasin_nk").alias("magasin_meilleure_marge"),
+        F.max("taux_marge_pct").alias("meilleur_taux_marge_pct"),
+        at_lowest(name, "taux_retour_pct", "magasin_nk").alias("magasin_moins_de_retours"),
+        F.min("taux_retour_pct").alias("plus_faible_taux_retour_pct"),
     )
 
 
@@ -265,21 +257,19 @@ def category_shares(gold: Gold) -> DataFrame:
 def category_figures(gold: Gold) -> DataFrame:
     """Catalogue totals with the leading category by sales and by margin rate: one row."""
     rows = categories(gold, ordered=False)
-    top = highest(rows, "ca_ttc", "categorie")
-    margin = highest(rows, "marge_pct", "categorie")
     totals = rows.agg(
         F.sum("nb_references").alias("total_references"),
         F.sum("ca_ttc").alias("total_ca_ttc"),
         F.sum("quantite_vendue").alias("total_quantite"),
+        at_highest("categorie", "ca_ttc", "categorie").alias("categorie_leader"),
+        F.max("ca_ttc").alias("ca_leader"),
+        at_highest("categorie", "marge_pct", "categorie").alias("categorie_meilleure_marge"),
+        F.max("marge_pct").alias("meilleure_marge_pct"),
     )
-    top_sales = top.select("ca_ttc").scalar()
+    share = percent(F.col("ca_leader"), F.col("total_ca_ttc")).alias("part_leader_pct")
     return totals.select(
-        "*",
-        top.select("categorie").scalar().alias("categorie_leader"),
-        top_sales.alias("ca_leader"),
-        percent(top_sales, F.col("total_ca_ttc")).alias("part_leader_pct"),
-        margin.select("categorie").scalar().alias("categorie_meilleure_marge"),
-        margin.select("marge_pct").scalar().alias("meilleure_marge_pct"),
+        "total_references", "total_ca_ttc", "total_quantite", "categorie_leader", "ca_leader", share,
+        "categorie_meilleure_marge", "meilleure_marge_pct",
     )
 
 
@@ -289,22 +279,22 @@ def category_figures(gold: Gold) -> DataFrame:
 def customer_figures(gold: Gold) -> DataFrame:
     """Customer base, leading segment and its share, mean basket, purchases per customer: one row."""
     rows = segments(gold, ordered=False)
-    top = highest(rows, "ca_total_ttc", "segment")
     totals = rows.agg(
         F.sum("nb_clients").alias("total_clients"),
         F.sum("ca_total_ttc").alias("total_ca_ttc"),
         F.sum("total_achats").alias("total_achats"),
         quotient(F.sum("panier_moyen_segment"), F.count("panier_moyen_segment")).alias("panier_moyen_global"),
+        at_highest("segment", "ca_total_ttc", "segment").alias("segment_leader"),
+        F.max("ca_total_ttc").alias("ca_leader"),
     )
-    top_sales = top.select("ca_total_ttc").scalar()
     return totals.select(
         "total_clients",
         "total_ca_ttc",
         "panier_moyen_global",
         ratio(F.col("total_achats"), F.col("total_clients"), 0).alias("achats_par_client"),
-        top.select("segment").scalar().alias("segment_leader"),
-        top_sales.alias("ca_leader"),
-        percent(top_sales, F.col("total_ca_ttc")).alias("part_leader_pct"),
+        "segment_leader",
+        "ca_leader",
+        percent(F.col("ca_leader"), F.col("total_ca_ttc")).alias("part_leader_pct"),
     )
 
 
@@ -314,19 +304,13 @@ def customer_figures(gold: Gold) -> DataFrame:
 def inventory_figures(gold: Gold, store: str | None = None) -> DataFrame:
     """Stock value and stock-outs of the store; suppliers and lead time of the whole network: one row."""
     rows = views.stock_management(gold, ordered=False)
-    network = rows.agg(
+    name = chosen(store, contract.ALL_STORES)
+    shown = F.lit(True) if name is None else F.col("magasin_nom") == name
+    return rows.agg(
+        F.sum(F.when(shown, F.col("valeur_stock_moyenne_ht"))).alias("valeur_stock_ht"),
         F.count_distinct("fournisseur_nom").alias("nb_fournisseurs"),
         quotient(F.sum("delai_livraison_jours"), F.count("delai_livraison_jours")).alias("delai_moyen"),
-    )
-    shown = only_store(rows, store).agg(
-        F.sum("valeur_stock_moyenne_ht").alias("valeur_stock_ht"),
-        F.sum("nb_occurrences_rupture").alias("total_ruptures"),
-    )
-    return shown.select(
-        "valeur_stock_ht",
-        network.select("nb_fournisseurs").scalar().alias("nb_fournisseurs"),
-        network.select("delai_moyen").scalar().alias("delai_moyen"),
-        "total_ruptures",
+        F.sum(F.when(shown, F.col("nb_occurrences_rupture"))).alias("total_ruptures"),
     )
 
 

@@ -35,20 +35,11 @@ PARTITION_DATE = {
 
 
 class KeyMaps:
-    """Natural to surrogate key lookups, each measured once and shared by all facts.
-
-    ``sized_by`` may name, per table, a cheaper frame to count (see ``Lookup``).
-    """
-
-    def __init__(
-        self,
-        dims: Mapping[str, DataFrame],
-        limit: int | None = None,
-        sized_by: Mapping[str, DataFrame] | None = None,
-    ):
-        sizes = sized_by or {}
+    """Natural to surrogate key lookups, shared by all facts."""
+
+    def __init__(self, dims: Mapping[str, DataFrame], strategy: str | None = None):
         self._lookups = {
-            name: Lookup(df, contract.TABLES[name].key[0], [SURROGATE[name]], limit, sizes.get(name))
+            name: Lookup(df, contract.TABLES[name].key[0], [SURROGATE[name]], strategy=strategy)
             for name, df in dims.items()
             if name != "dim_temps"
         }
@@ -83,12 +74,10 @@ def build_products(
     suppliers: DataFrame,
     known: DataFrame | None = None,
     audit: bool = False,
-    limit: int | None = None,
-    suppliers_sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """The supplier's natural key is replaced by its surrogate, NULL when unknown."""
     keyed = _dimension(silver, contract.PRODUCTS, known, audit)
-    lookup = Lookup(suppliers, "fournisseur_nk", ["fournisseur_sk"], limit, suppliers_sized_by)
+    lookup = Lookup(suppliers, "fournisseur_nk", ["fournisseur_sk"])
     joined = lookup.attach(keyed, "left")
     order = [c if c != "fournisseur_nk" else "fournisseur_sk" for c in keyed.columns]
     return joined.select(*order)
@@ -107,7 +96,6 @@ def build_dimensions(
     calendar: DataFrame | None = None,
     known: dict[str, DataFrame] | None = None,
     audit: bool = False,
-    limit: int | None = None,
 ) -> dict[str, DataFrame]:
     """``calendar`` replaces the default 2024-2030 one; ``known`` holds earlier key maps."""
     known = known or {}
@@ -118,7 +106,7 @@ def build_dimensions(
         "dim_magasin": build_stores(silver["dim_magasin"], known.get("dim_magasin"), audit),
         "dim_fournisseur": suppliers,
         "dim_produit": build_products(
-            silver["dim_produit"], suppliers, known.get("dim_produit"), audit, limit
+            silver["dim_produit"], suppliers, known.get("dim_produit"), audit
         ),
         "dim_client": build_customers(silver["dim_client"], known.get("dim_client"), audit),
         "dim_temps": calendar,
@@ -153,8 +141,8 @@ def build_orders(silver: DataFrame, keys: KeyMaps, numbered: bool = True) -> Dat
     return dense_keys(headers, ["commande_nk"], "commande_sk") if numbered else headers
 
 
-def build_order_lines(silver: DataFrame, keys: KeyMaps, orders: DataFrame, limit: int | None = None) -> DataFrame:
-    numbered = Lookup(orders, "commande_nk", ["commande_sk"], limit).attach(silver)
+def build_order_lines(silver: DataFrame, keys: KeyMaps, orders: DataFrame) -> DataFrame:
+    numbered = Lookup(orders, "commande_nk", ["commande_sk"]).attach(silver)
     return keys.attach(numbered, "dim_produit").select(
         "commande_sk", "produit_sk", "quantite_commandee", "prix_unitaire_achat", "montant_ligne_ht"
     )
@@ -214,14 +202,13 @@ def build_facts(
     silver: dict[str, DataFrame],
     dims: dict[str, DataFrame],
     line_keys: bool = False,
-    limit: int | None = None,
 ) -> dict[str, DataFrame]:
-    keys = KeyMaps(dims, limit)
+    keys = KeyMaps(dims)
     orders = build_orders(silver["fait_commandes"], keys)
     facts = {
         "fait_stock": build_stock(silver["fait_stock"], keys),
         "fait_commandes": orders,
-        "fait_lignes_commandes": build_order_lines(silver["fait_lignes_commandes"], keys, orders, limit),
+        "fait_lignes_commandes": build_order_lines(silver["fait_lignes_commandes"], keys, orders),
         "fait_ventes": build_sales(silver["fait_ventes"], keys),
         "fait_retours": build_returns(silver["fait_retours"], keys),
     }

@@ -28,7 +28,7 @@ class Options:
     enforce_contract also reject rows that break a NOT NULL or length clause no rule covers
     require_ticket   reject returns without a ticket (streamed returns carry none)
     sales_key        business key of a sale line
-    broadcast_limit  bytes up to which a parent is broadcast
+    join_strategy    join hint for the reference checks; None leaves it to Spark
     """
 
     record_data: str = "raw"
@@ -36,7 +36,7 @@ class Options:
     enforce_contract: bool = True
     require_ticket: bool = True
     sales_key: tuple[str, ...] = contract.SALES.key
-    broadcast_limit: int | None = None
+    join_strategy: str | None = None
 
 
 DEFAULTS = Options()
@@ -93,7 +93,7 @@ def _clean(
         covered = {r.rule_id for r in rules}
         required = [r for r in quality.required_rules(table, skip=not_required) if r.rule_id not in covered]
         late = required + quality.length_rules(table)
-    assessed = quality.assess(typed, rules, table.references, parents, late, options.broadcast_limit)
+    assessed = quality.assess(typed, rules, table.references, parents, late, options.join_strategy)
     return Cleaned(table, assessed, key or table.key, options)
 
 

@@ -73,10 +73,10 @@ def customer_segments(sales: DataFrame) -> DataFrame:
     return stats.select("client_nk", "nb_tickets", segment.alias("segment"))
 
 
-def assign_segments(customers: DataFrame, sales: DataFrame, limit: int | None = None) -> DataFrame:
+def assign_segments(customers: DataFrame, sales: DataFrame) -> DataFrame:
     """Customers with the computed segment; those without purchases get the default class."""
     computed = customer_segments(sales)
-    return with_default(customers, computed, "client_nk", "segment", contract.SEGMENT_DEFAULT, limit)
+    return with_default(customers, computed, "client_nk", "segment", contract.SEGMENT_DEFAULT)
 
 
 def order_totals(lines: DataFrame) -> DataFrame:

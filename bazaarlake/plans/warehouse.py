@@ -44,12 +44,22 @@ def _store(lake: Lake, cleaned: Cleaned, audit: bool) -> DataFrame:
     return lake.read("silver", name)
 
 
+def with_stream(lake: Lake, landed: DataFrame, table: str) -> DataFrame:
+    """The landed rows and those that a stream has landed beside them."""
+    if not lake.exists("bronze", f"{table}_flux"):
+        return landed
+    streamed = lake.read("bronze", f"{table}_flux")
+    return landed.unionByName(streamed.select(*[F.col(c).cast("string").alias(c) for c in landed.columns]))
+
+
 def run_silver(lake: Lake, options: Options = silver.DEFAULTS, audit: bool = True) -> DataFrame:
     """Cleans every bronze table into silver; returns the bronze to silver report.
 
     Full refresh: a rerun replaces silver and its rejects.
     """
     bronze = lake.read_layer("bronze")
+    for name in ("fait_ventes", "fait_retours"):
+        bronze[name] = with_stream(lake, bronze[name], name)
     suppliers = _store(lake, silver.clean_suppliers(bronze["dim_fournisseur"], options), audit)
     dims = {
         "dim_magasin": _store(lake, silver.clean_stores(bronze["dim_magasin"], options), audit),
@@ -73,7 +83,6 @@ def run_gold(
     line_keys: bool = True,
     audit: bool = True,
     keep_keys: bool = False,
-    limit: int | None = None,
 ) -> DataFrame:
     """Builds gold from silver; returns the silver to gold report.
 
@@ -86,21 +95,21 @@ def run_gold(
             surrogate = gold.SURROGATE[table.name]
             earlier = lake.read("gold", table.name).select(*table.key, surrogate)
             known[table.name] = lake.hand_off(earlier, "keys", table.name)
-    built = gold.build_dimensions(source, calendar, known, audit, limit)
+    built = gold.build_dimensions(source, calendar, known, audit)
     dims = {"dim_fournisseur": lake.hand_off(built["dim_fournisseur"], "gold", "dim_fournisseur")}
     products = gold.build_products(
-        source["dim_produit"], dims["dim_fournisseur"], known.get("dim_produit"), audit, limit
+        source["dim_produit"], dims["dim_fournisseur"], known.get("dim_produit"), audit
     )
     dims["dim_produit"] = lake.hand_off(products, "gold", "dim_produit")
     for name in ("dim_magasin", "dim_client", "dim_temps"):
         dims[name] = lake.hand_off(built[name], "gold", name)
 
-    keys = gold.KeyMaps(dims, limit)
+    keys = gold.KeyMaps(dims)
     orders = lake.hand_off(gold.build_orders(source["fait_commandes"], keys), "gold", "fait_commandes")
     facts = {
         "fait_stock": gold.build_stock(source["fait_stock"], keys),
         "fait_lignes_commandes": gold.build_order_lines(
-            source["fait_lignes_commandes"], keys, orders, limit
+            source["fait_lignes_commandes"], keys, orders
         ),
         "fait_ventes": gold.build_sales(source["fait_ventes"], keys),
         "fait_retours": gold.build_returns(source["fait_retours"], keys),

@@ -1,10 +1,8 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings a job of this library expects. All are runtime-mutable SQL settings, and AQE
 # picks the number of reduce partitions from data sizes, so no partition count is fixed.
@@ -39,27 +37,3 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A folder of our own is made only in local mode with the setting absent.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="bazaarlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)

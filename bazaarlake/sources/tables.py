@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ def write_table(
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         out = out.hint("rebalance", partition_by)
-    writer = out.write.mode(mode)
+    # A full refresh also removes partitions that the new rows do not have.
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
@@ -47,6 +49,13 @@ class Lake:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
+    def exists(self, layer: str, table: str) -> bool:
+        try:
+            self.read(layer, table)
+        except AnalysisException:
+            return False
+        return True
+
     def read_layer(self, layer: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
         return {t: self.read(layer, t) for t in tables or list(contract.TABLES)}
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlake import contract
@@ -217,14 +217,14 @@ def _(r):
     return volumes({"valide": valid, "rejete": rejected}).withColumnRenamed("table_name", "cote")
 
 
-def _split_sides(r, optional: bool) -> DataFrame:
+def _split_sides(r, optional: bool, strategy: str | None = None) -> DataFrame:
     sales = r.bronze["fait_ventes"]
     ghosts = F.when(F.col("client_nk") != "CLI-GHOST", F.col("client_nk"))
     # Ghost customers of even tickets lose their key, so both kinds of bad key occur.
     even = F.col("ticket_nk").cast("long") % 200 < 100
     keyed = sales.withColumn("client_nk", F.when(even, ghosts).otherwise(F.col("client_nk")))
     valid, rejected = quality.split_orphans(
-        keyed, r.bronze["dim_client"], "client_nk", "client_nk", "fait_ventes", "client", optional
+        keyed, r.bronze["dim_client"], "client_nk", "client_nk", "fait_ventes", "client", optional, strategy
     )
     return volumes({"valide": valid, "rejete": rejected}).withColumnRenamed("table_name", "cote")
 
@@ -241,6 +241,12 @@ check(
     """select case when client_nk = 'CLI-GHOST' and cast(ticket_nk as bigint) % 200 >= 100 then 'rejete' else 'valide' end cote,
       count(*) nb_lignes from landed_sales group by 1""",
 )(lambda r: _split_sides(r, True))
+check(
+    "ri_shuffled",
+    "cote:s; nb_lignes:i",
+    """select case when client_nk = 'CLI-GHOST' then 'rejete' else 'valide' end cote, count(*) nb_lignes
+    from landed_sales group by 1""",
+)(lambda r: _split_sides(r, False, "merge"))
 
 
 @check(
@@ -736,10 +742,8 @@ check(
     "select magasin_nk, row_number() over (order by chiffre_affaires_ttc nulls last, magasin_nk) rang from v_store",
 )
 def _(r):
-    ranked = dashboard.store_ranking_ascending(r.gold).select("magasin_nk")
-    # The order of the few stores, made visible as a number.
-    listed = ranked.agg(F.collect_list("magasin_nk").alias("l")).select(F.posexplode("l").alias("p", "magasin_nk"))
-    return listed.select("magasin_nk", (F.col("p") + 1).alias("rang"))
+    order = Window.orderBy(F.asc_nulls_last("chiffre_affaires_ttc"), "magasin_nk")
+    return dashboard.store_ranking_ascending(r.gold).select("magasin_nk", F.row_number().over(order).alias("rang"))
 
 
 # --- SQL surface and reports ------------------------------------------------------------------------------
@@ -942,7 +946,7 @@ def _(r):
     return events.groupBy("ticket_nk").agg(
         F.count("*").alias("nb_evenements"),
         F.sum(F.size("lignes")).alias("nb_lignes"),
-        F.sum(F.col("montant_total_ttc").cast("decimal(18,2)")).alias("total"),
+        F.max(F.col("montant_total_ttc").cast("decimal(18,2)")).alias("total"),
     )
 
 

@@ -5,7 +5,7 @@ from bazaarlake import contract
 from bazaarlake.operators import calendar as cal
 from bazaarlake.operators import quality
 from bazaarlake.operators.dedup import duplicate_keys, keep_first
-from bazaarlake.operators.joins import Lookup, fits_broadcast, flag_orphans, hot_keys, with_default
+from bazaarlake.operators.joins import Lookup, flag_orphans, with_default
 from bazaarlake.operators.keys import dense_keys, extend_keys
 from bazaarlake.operators.ranking import highest, lowest, top_n
 from bazaarlake.operators.sampling import fixed_size_sample
@@ -26,12 +26,12 @@ def test_every_row_lands_on_one_side(spark):
     assert rows(rejected, "record_data", "reason") == [('{"v":-1}', "it's bad"), ('{"v":null}', "it's bad")]
 
 
-@pytest.mark.parametrize("limit", [None, 0])
+@pytest.mark.parametrize("strategy", [None, "merge"])
 @pytest.mark.parametrize("optional", [False, True])
-def test_reference_split(spark, limit, optional):
+def test_reference_split(spark, strategy, optional):
     child = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, "x"), (5, "b")], "i int, fk string")
     parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "pk string")
-    valid, rejected = quality.split_orphans(child, parent, "fk", "pk", "t", "r", optional, limit)
+    valid, rejected = quality.split_orphans(child, parent, "fk", "pk", "t", "r", optional, strategy)
     good = [(1,), (3,), (5,)] if optional else [(1,), (5,)]
     assert rows(valid, "i") == good
     assert rejected.count() == 5 - len(good)
@@ -88,33 +88,43 @@ def skewed(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("hot_known", [True, False])
-def test_shuffled_lookup_is_the_plain_join(spark, skewed, how, hot_known):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_shuffled_lookup_is_the_plain_join(spark, skewed, how, hot_known, salts):
     parent = spark.range(0, 1700, 2).select(F.concat(F.lit("k"), "id").alias("nk"), F.col("id").alias("sk"))
     if hot_known:
         parent = parent.unionByName(spark.createDataFrame([("hot", -1)], "nk string, sk long"))
-    got = Lookup(parent, "nk", ["sk"], limit=0).attach(skewed, how)
+    got = Lookup(parent, "nk", ["sk"], salts, "merge").attach(skewed, how)
     want = skewed.join(parent, "nk", how)
     assert got.columns == want.columns
     assert rows(got, "id", "nk", "sk") == rows(want, "id", "nk", "sk")
 
 
-def test_hot_keys_are_bounded_and_never_shuffled(skewed):
-    assert hot_keys(skewed, "nk", 1).collect()[0][0] == "hot"
-    assert hot_keys(skewed, "nk", 16).count() == 16
-
-
-def test_orphan_flag_same_on_both_ways(spark, skewed):
+def test_orphan_flag_same_on_all_ways(spark, skewed):
     parent = spark.createDataFrame([("hot",), ("k2",), ("k2",)], "pk string")
-    small = flag_orphans(skewed, "nk", parent, "pk", "bad")
-    large = flag_orphans(skewed, "nk", parent, "pk", "bad", limit=0)
-    assert rows(small, "id", "bad") == rows(large, "id", "bad")
-    assert small.count() == 6000
-
-
-def test_size_check(spark):
-    assert fits_broadcast(spark.range(10))
-    assert not fits_broadcast(spark.range(10), 0)
-    assert not fits_broadcast(spark.range(100_000), 1000)
+    plain = flag_orphans(skewed, "nk", parent, "pk", "bad")
+    salted = flag_orphans(skewed, "nk", parent, "pk", "bad", salts=4, strategy="merge")
+    assert rows(plain, "id", "bad") == rows(salted, "id", "bad")
+    assert plain.count() == 6000
+
+
+def test_lookup_chain_reads_the_fact_once(spark, folder):
+    """Three lookups and a reference check with broadcasting off: one scan of the fact, and no job while it is built."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    parts = spark.range(100).select(F.col("id").alias("l_partkey"), F.col("id").alias("sk"))
+    suppliers = spark.range(10).select(F.col("id").alias("l_suppkey"), F.col("id").alias("ssk"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.sparkContext.setJobGroup("lookups", "lookups")
+        out = Lookup(parts, "l_partkey", ["sk"]).attach(lines, "left")
+        out = Lookup(suppliers, "l_suppkey", ["ssk"], salts=4).attach(out, "left")
+        out = flag_orphans(out, "l_orderkey", spark.range(5), "id", "bad")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookups")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count("l_linenumber") and plan.count("Relation [l_orderkey") == 1
 
 
 def test_with_default(spark):

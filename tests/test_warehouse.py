@@ -111,6 +111,14 @@ def test_rerun_replaces_and_keeps_keys(built):
     assert "5" not in after and all(before[k] == v for k, v in after.items())
 
 
+def test_refresh_drops_months_that_are_gone(spark, tmp_path):
+    path = str(tmp_path / "months")
+    two = spark.createDataFrame([(1, 202401), (2, 202402)], "v int, annee_mois int")
+    write_table(two, path, partition_by="annee_mois")
+    write_table(two.where("v = 2"), path, partition_by="annee_mois")
+    assert [r["v"] for r in spark.read.parquet(path).collect()] == [2]
+
+
 def test_empty_write_reports_zero(spark, tmp_path):
     assert write_table(spark.range(3).where("id > 5"), str(tmp_path / "t")) == 0
 
