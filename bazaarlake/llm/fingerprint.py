@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import store
 
-LEAST, NORMAL, MOST = 24, 64, 256
-HARD_BITS, EASY_BITS = 7, 4
+LEAST, NORMAL, MOST = 32, 96, 384
+HARD_BITS, EASY_BITS = 8, 5
+DIGEST = 5  # bytes of a chunk's digest
 WINDOW = 32
 LAST_KEY = (1 << 63) - 1
 
@@ -66,7 +67,7 @@ def cut_points(length: int, hard: list[int], easy: list[int], base: int, h: int,
 
 
 def chunks(texts: list[str]) -> list[dict[bytes, int]]:
-    """Of each text: 6-byte chunk digest -> chunk length in bytes."""
+    """Of each text: chunk digest -> chunk length in bytes."""
     raw = [t.encode() for t in texts]
     if not raw:
         return []
@@ -77,7 +78,7 @@ def chunks(texts: list[str]) -> list[dict[bytes, int]]:
     for text in raw:
         at, own = 0, {}
         for end in cut_points(len(text), hard, easy, base, bisect_left(hard, base), bisect_left(easy, base)):
-            own[xxhash.xxh3_64_digest(text[at:end])[:6]] = end - at
+            own[xxhash.xxh3_64_digest(text[at:end])[:DIGEST]] = end - at
             at = end
         out.append(own)
         base += len(text) + WINDOW
@@ -89,7 +90,8 @@ def packed(own: dict[bytes, int]) -> bytes:
 
 
 def unpacked(raw: bytes) -> dict[bytes, int]:
-    return {raw[k : k + 6]: int.from_bytes(raw[k + 6 : k + 8], "little") for k in range(0, len(raw), 8)}
+    width = DIGEST + 2
+    return {raw[k : k + DIGEST]: int.from_bytes(raw[k + DIGEST : k + width], "little") for k in range(0, len(raw), width)}
 
 
 def written(own: dict[bytes, int]) -> str:
