@@ -11,7 +11,7 @@ so they share one of their first s - ceil(0.8 s) + 1 shingles, and two of one mo
 * Shingles of a prefix that no other set has bound what a set can share; pairs beyond that bound are not candidates.
 * A key with many sets is not spread into pairs. Its most central set leads: all others are compared with it. What links
   falls into one component and needs no more comparing, and what a set shares with the leader bounds what it shares with others.
-  After two leaders only the pairs that are still open are listed.
+  After two leaders only the pairs that are still open are listed, and 512 parity bits of each set rule out most of those.
 * Every candidate pair is verified on the whole sets. Components come from rounds of joins that end when nothing changes.
 
 Equal sets are one node from the start, so copies cost nothing. Repeated rows are copies. Null ids: a component's id is the
@@ -35,6 +35,7 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # 0.8
 BYTES = 5  # kept of a shingle's hash
 SLOTS = 1 << 20  # of the table of counts
+WORDS = 8  # of 64 parity bits
 LISTED = 32  # sets of a key whose pairs are listed at once
 LEADER_ROUNDS = 2  # for keys of more sets, before the pairs that are still open are listed
 LARGEST_LIGHT = 64
@@ -81,8 +82,15 @@ def _batch(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.Reco
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """64 * WORDS bits: whether an odd number of the set's shingles falls on each. Two sets differ in at least as many shingles
+    as their bits differ in places."""
+    counts = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (64 bits of the set's digest; null for an empty set), sig (the whole digest), tokens."""
+    """doc_id, n, node (64 bits of the set's digest; null for an empty set), sig (the whole digest), tokens, bits."""
 
     def run(batches):
         cache = _WordHashes()
@@ -94,12 +102,13 @@ def sets_of(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in own], pa.int64()),
                  pa.array([None if s is None else int.from_bytes(s[:8], "little", signed=True) for s in sigs], pa.int64()),
-                 pa.array(sigs, pa.binary()), pa.array([pack(s) for s in own], pa.binary())],
-                ["doc_id", "n", "node", "sig", "tokens"],
+                 pa.array(sigs, pa.binary()), pa.array([pack(s) for s in own], pa.binary()),
+                 pa.array([parity_bits(s) for s in own], pa.list_(pa.int64()))],
+                ["doc_id", "n", "node", "sig", "tokens", "bits"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, sig binary, tokens binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, sig binary, tokens binary, bits array<long>")
 
 
 def frequency_classes(sets: DataFrame, slots: int = SLOTS) -> np.ndarray:
@@ -282,19 +291,29 @@ def _live(rows: DataFrame) -> DataFrame:
     return store(rows.join(groups.where(F.col("low") != F.col("high")).select("key", "many", "lead"), "key"), "live")
 
 
-def _after_leaders(live: DataFrame, checked: DataFrame) -> DataFrame:
-    """The postings after a round: what links to a leader takes its part, and everything what it shares with the key's leader."""
-    star = checked.where(_linked()).groupBy("b").agg(F.min("a").alias("star"))
-    star = store(star.select(F.col("b").alias("_node"), "star"), "stars")
-    up = star.select(F.col("_node").alias("_up"), F.col("star").alias("_upper"))
-    star = star.join(up, F.col("star") == F.col("_up"), "left").select("_node", F.coalesce("_upper", "star").alias("_star"))
-    met = checked.select(F.col("a").alias("_lead"), F.col("b").alias("_b"), F.col("common").alias("_shared"))
+def _after_leaders(live: DataFrame, found: list[DataFrame], shared: str) -> DataFrame:
+    """The postings after a round: sets that links so far join are of one part, and all sets of a key with a leader have what
+    they share with it in the column ``shared``."""
+    linked = found[0].where(_linked()).select("a", "b")
+    for more in found[1:]:
+        linked = linked.union(more.where(_linked()).select("a", "b"))
+    parts = labelled(linked).select(F.col("node").alias("_node"), "label")
+    met = found[-1].select(F.col("a").alias("_lead"), F.col("b").alias("_b"), F.col("common").alias(shared))
     led = F.col("many") > LISTED
-    rest = live.where(~led | (F.col("node") != F.col("lead.node")))
-    rest = rest.select("key", "node", "n", "central", "room", "part", "shared", F.when(led, F.col("lead.node")).alias("_by"))
-    rest = rest.join(star, F.col("node") == F.col("_node"), "left")
+    rest = live.where(~led | (F.col("node") != F.col("lead.node"))).withColumn("_by", F.when(led, F.col("lead.node")))
+    rest = rest.join(parts, F.col("node") == F.col("_node"), "left").withColumn("part", F.coalesce("label", "node"))
     rest = rest.join(met, (F.col("_by") == F.col("_lead")) & (F.col("node") == F.col("_b")), "left")
-    return rest.select("key", "node", "n", "central", "room", F.coalesce("_star", "part").alias("part"), F.coalesce("_shared", "shared").alias("shared"))
+    return rest.drop("many", "lead", "_by", "_node", "label", "_lead", "_b")
+
+
+def _close(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs whose parity bits do not rule a link out: linked sets differ in at most a ninth of their sizes' sum."""
+    known = sets.where("n >= 4").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    known = store(known, "bits")
+    one, two = (known.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("bits").alias(f"{k}_bits")) for k in ("a", "b"))
+    places = sum(F.bit_count(F.col("a_bits")[k].bitwiseXOR(F.col("b_bits")[k])) for k in range(WORDS))
+    both = pairs.join(one, "a").join(two, "b")
+    return both.where(places * (NUMERATOR + DENOMINATOR) <= F.col("a_n") + F.col("b_n")).select("a", "b")
 
 
 def links(sets: DataFrame) -> DataFrame:
@@ -302,25 +321,29 @@ def links(sets: DataFrame) -> DataFrame:
     small = sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_LIGHT)).groupBy("n").agg(F.count("*").alias("c"))
     keys = Keys(frequency_classes(sets), light_boundary({r["n"]: r["c"] for r in small.collect()}))
     rows = store(postings(sets, keys), "postings")
-    live = _live(rows.withColumn("part", F.col("node")).withColumn("shared", F.lit(None).cast("long")))
+    live = _live(rows.withColumn("part", F.col("node")))
     found = []
-    for _ in range(LEADER_ROUNDS):
-        led = (F.col("many") > LISTED) & (F.col("node") != F.col("lead.node")) & (F.col("part") != F.col("lead.part"))
-        pairs = live.where(led & _can_link("room", "n", "lead.room", "lead.n")).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+    rounds = [f"shared_{k}" for k in range(LEADER_ROUNDS)]
+    for shared in rounds:
+        # All sets of the key meet its leader, also those that cannot link to it: what they share with it is used below.
+        led = live.where((F.col("many") > LISTED) & (F.col("node") != F.col("lead.node")))
+        pairs = led.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
         checked = store(verified(sets, store(pairs, "pairs")), "verified")
         found.append(checked)
-        live = _live(_after_leaders(live, checked))
-    other = live.select("key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "room", "part", "shared")])
-    # Both have met the same leader, that of the last round in which the key had one: what two sets share lies within what
-    # each shares with the leader, or outside of it within what each has room for.
-    within = F.least("shared", "b_shared") + F.least(F.col("room") - F.col("shared"), F.col("b_room") - F.col("b_shared"))
-    enough = within * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("b_n")) * NUMERATOR
-    met = F.col("shared").isNotNull() & F.col("b_shared").isNotNull()
+        live = _live(_after_leaders(live, found, shared))
+    other = live.select("key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "room", "part", *rounds)])
+    enough = F.lit(True)
+    for own in rounds:
+        # Both met the leader of this round: what they share lies within what each shares with the leader, or outside of
+        # it within what each has room for.
+        within = F.least(own, f"b_{own}") + F.least(F.col("room") - F.col(own), F.col("b_room") - F.col(f"b_{own}"))
+        fits = within * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("b_n")) * NUMERATOR
+        enough = enough & (F.col(own).isNull() | F.col(f"b_{own}").isNull() | fits)
     listed = live.join(other, "key").where(
-        (F.col("node") < F.col("b_node")) & (F.col("part") != F.col("b_part")) & _can_link("room", "n", "b_room", "b_n") & (~met | enough)
+        (F.col("node") < F.col("b_node")) & (F.col("part") != F.col("b_part")) & _can_link("room", "n", "b_room", "b_n") & enough
     )
     pairs = listed.select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
-    found.append(verified(sets, store(pairs, "pairs")))
+    found.append(verified(sets, store(_close(sets, store(pairs, "open-pairs")), "pairs")))
     linked = [f.where(_linked()).select("a_sig", "b_sig") for f in found]
     out = linked[0]
     for more in linked[1:]:
