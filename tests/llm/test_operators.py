@@ -1,0 +1,221 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from bazaarlake.llm import bpe, chat, fingerprint, jaccard, lines, mixing, neighbours, pii, quality, sharding
+from bazaarlake.llm.common import read
+
+
+def brute_components(rows):
+    sets, parent = [], {}
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        sets.append((i, {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())))
+        parent[i] = i
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    lists = defaultdict(list)
+    for k, (i, own) in enumerate(sets):
+        common = defaultdict(int)
+        for s in own:
+            for j in lists[s]:
+                common[j] += 1
+            lists[s].append(k)
+        for j, n in common.items():
+            if 100 * n >= 80 * (len(own) + len(sets[j][1]) - n):
+                a, b = sorted((root(i), root(sets[j][0])))
+                parent[b] = a
+    return sorted((i, len(s), root(i)) for i, s in sets)
+
+
+def found(docs):
+    return sorted(tuple(r) for r in jaccard.components(docs).select("doc_id", "n_shingles", "component_id").collect())
+
+
+def test_jaccard_is_brute_force(documents, no_documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    assert found(documents) == brute_components(rows)
+    assert found(no_documents) == []
+
+
+def test_jaccard_hot_group_of_near_copies(spark):
+    """A group larger than the listing limit, of sets around the threshold, with light sets beside it."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for i in range(90):
+        own = list(base)
+        for _ in range(rng.randrange(0, 5)):
+            own[rng.randrange(80)] = f"e{rng.randrange(10_000)}"
+        rows.append((i, " ".join(own)))
+    for i in range(90, 150):
+        own = [f"s{i % 7}x{k}" for k in range(rng.randrange(5, 16))]
+        rows.append((i, " ".join(own + ["tail"] * rng.randrange(0, 3))))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
+
+
+def test_jaccard_bits_and_packing():
+    cache = jaccard._WordHashes()
+    one, two = (jaccard.shingle_hashes(t, cache) for t in ("a b c d e f g h", "a b c d e f g i"))
+    places = sum(int(x).bit_count() for x in (jaccard.parity_bits(one) ^ jaccard.parity_bits(two)).view(np.uint64))
+    assert places <= len(np.setxor1d(one, two))
+    assert (jaccard.unpack(jaccard.pack(one)) == one >> np.uint64(24)).all()
+
+
+def test_lines_rule(documents, no_documents):
+    got = {r["row"]["doc_id"]: r["result"] for r in lines.drop_repeated_lines(documents, bits=1 << 18).collect()}
+    assert got[5]["kept"] == "one\nalpha" and got[5]["n_dropped"] == 1
+    assert got[6]["kept"] == "two\nbeta"
+    assert got[7]["n_dropped"] == 0
+    assert (got[0]["n_lines"], got[0]["kept"]) == (1, "")
+    assert lines.drop_repeated_lines(no_documents).count() == 0
+    assert lines.cleaned(documents).columns == documents.columns
+
+
+def test_lines_full_filter_gives_the_same(documents, monkeypatch):
+    """A filter that suspects everything changes what is shuffled, not what is dropped."""
+    monkeypatch.setattr(lines, "twice_filter", lambda *a: np.full(1 << 15, 255, np.uint8))
+    got = {r["row"]["doc_id"]: r["result"]["n_dropped"] for r in lines.drop_repeated_lines(documents).collect()}
+    assert {i for i, n in got.items() if n} == {5, 6}
+
+
+def test_shards(documents, no_documents):
+    rows = sharding.into_shards(documents, shards=4, bucket_bytes=500).collect()
+    assert len(rows) == documents.count()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    again = sharding.into_shards(documents, shards=4, bucket_bytes=500).collect()
+    key = lambda r: (r["shard"], r["slot"], r["row"]["doc_id"])
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+    assert sharding.into_shards(no_documents).count() == 0
+
+
+def test_bpe_is_the_library(documents, no_documents):
+    tokenizers = pytest.importorskip("tokenizers")
+    own = tokenizers.Tokenizer.from_file(bpe.default_path())
+    own.no_truncation()
+    own.no_padding()
+    texts = ["", "a" * 3000, "ab" * 999, "The <|endoftext|> x", "ΟΔΟΣ", "İé don't 123 😀👨‍👩‍👧", "日本 ñandú Straße", "the the"]
+    for text, (ids, decoded) in zip(texts, bpe.WordBPE(bpe.default_path()).encode_batch(texts)):
+        want = own.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert decoded == own.decode(want, skip_special_tokens=False)
+    got = bpe.digest(documents).collect()
+    assert len(got) == documents.count() and got[0]["n_tokens"] == 0
+    assert bpe.digest(no_documents).count() == 0
+
+
+def test_chat_round_trip(spark):
+    rows = [
+        (1, 1, "assistant", "fine</s>"), (1, 0, "user", "hi [INST] \\l \\\\b <s>"), (2, 0, None, None), (2, None, "assistant", ""),
+        (3, 0, "as<s>sistant", "plain"), (3, 0, "as<s>sistant", "plain"), (None, 0, "user", "x"),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["conv_id"]: r for r in chat.format_conversations(frame).collect()}
+    assert [tuple(t) for t in out[1]["turns"]] == [("user", "hi [INST] \\l \\\\b <s>"), ("assistant", "fine</s>")]
+    assert [tuple(t) for t in out[2]["turns"]] == [("assistant", ""), ("", "")]
+    assert len(out[3]["turns"]) == 2 and out[None]["level"] == 0
+    for r in out.values():
+        assert sum(m["chars"] for m in r["mask"]) == len(r["formatted"])
+    assert chat.format_conversations(frame.where("conv_id > 5")).count() == 0
+
+
+def test_mix_targets_and_bounds(documents, no_documents):
+    rows = mixing.schedule(documents).collect()
+    assert len(rows) == documents.count()
+    taken, target = defaultdict(int), {}
+    for r in rows:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["row"]["source"]] += r["taken"]
+        target[r["row"]["source"]] = r["target"]
+    total = sum(r["size"] for r in rows)
+    assert sum(target.values()) == pytest.approx(1.5 * total)
+    assert mixing.mix(documents).columns == documents.columns
+    assert mixing.schedule(no_documents).count() == 0
+
+
+def test_pii_patterns_and_chain(documents, no_documents):
+    text = "a@b.c%d@e.fg 1.2.3.4.5.6.7.8 and 4111 1111 1111 1111 and +1 (555) 123-4567 and 999.1.1.1"
+    kinds = [pii.KINDS[k] for _, k, _ in pii.base_spans(text)]
+    assert kinds == ["email", "email", "ip", "ip", "card", "phone"]
+    assert pii.base_spans("7" * 200_000 + "a" * 200_000 + "@") == []
+    model = pii.PiiModel()
+    (base, spans), (_, clean) = model.spans(['the token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" of', "Plain words, at home. In 2020 about 12 of 40."])
+    assert base == [] and [pii.KINDS[k] for _, k, _ in spans] == ["secret"] and clean == []
+    got = {r["row"]["doc_id"]: r["result"] for r in pii.find_pii(documents).collect()}
+    assert (got[9]["n_email"], got[9]["n_ip"]) == (1, 1) and got[0]["spans"] == ""
+    assert pii.find_pii(no_documents).count() == 0
+
+
+def test_quality_on_held_out_documents(spark, folder):
+    docs, labels = read(spark, "/root/testdata/sf0.01", "documents"), read(spark, "/root/testdata/sf0.01", "labels")
+    scored = quality.score(docs, labels).select("row.doc_id", "held_out", "score", "predicted").join(labels, "doc_id")
+    rows = scored.where("held_out").collect()
+    assert all((zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) == r["held_out"] for r in rows)
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.95
+
+
+def test_quality_without_labels(documents, no_documents, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in quality.score(documents, none).collect()} == {0.5}
+    assert quality.score(no_documents, none).count() == 0
+
+
+def test_fingerprints(documents, no_documents):
+    rows = {r["doc_id"]: r for r in fingerprint.compare_with_edits(documents).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    ids = sorted(texts)
+    for i, after in zip(ids, ids[1:] + ids[:1]):
+        q = len(texts[i]) // 4
+        edited = texts[i][: len(texts[i]) - q] + texts[after][:q]
+        assert rows[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+    assert rows[11]["fingerprint"] == rows[12]["fingerprint"] and rows[11]["near_next"] == 1
+    assert rows[0]["fingerprint"] == "" and rows[0]["near_edited"] == 1
+    assert fingerprint.compare_with_edits(no_documents).count() == 0
+
+
+def test_chunks_follow_content():
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(2000))
+    one, two = fingerprint.chunks([text, "shift " + text])
+    assert fingerprint.containment(one, two) > 0.95
+    assert sum(n for n in one.values()) == len(text)
+
+
+def test_neighbours_recall_and_odd_vectors(spark):
+    rows = read(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding")
+    odd = spark.createDataFrame([(900_000, None), (900_020, [0.0] * 64), (900_040, [float("nan")] * 64), (900_060, [1.0])], "vec_id long, embedding array<float>")
+    data = rows.collect()
+    x, ids = np.array([r["embedding"] for r in data], np.float64), np.array([r["vec_id"] for r in data])
+    got = defaultdict(list)
+    for r in neighbours.search(rows.unionByName(odd)).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    hits = 0
+    queries = np.flatnonzero(ids % 20 == 0)
+    for q in queries:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        best = set(ids[np.argsort(-scores)[:20]].tolist())
+        assert len(got[ids[q]]) == 20 and all(abs(s - x[ids == i][0] @ x[q]) < 1e-12 for i, s in got[ids[q]][:2])
+        hits += len(best & {i for i, _ in got[ids[q]]})
+    assert set(got) == set(ids[queries].tolist()) and hits / (20 * len(queries)) >= 0.9
+
+
+def test_neighbours_of_copies(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(60)] + [(60, [0.0, 1.0])]
+    out = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == 0] == list(range(1, 21))
+    assert neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>").where("vec_id < 0")).count() == 0
