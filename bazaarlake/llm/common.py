@@ -14,10 +14,17 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bounds of what a Python worker gets at a time: rows, and bytes where texts are long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, once a session."""
+    """Gives the executors this package and sets ``BATCH`` where the user has not, once a session."""
     context = spark.sparkContext
+    given = context.getConf()
+    for name, value in BATCH.items():
+        if not given.contains(name):
+            spark.conf.set(name, value)
     if getattr(context, "_bazaarlake_shipped", False):
         return
     root = Path(__file__).resolve().parents[2]
