@@ -217,11 +217,13 @@ def postings(sets: DataFrame, keys: Keys) -> DataFrame:
     return rows.groupBy("key", "node").agg(*[F.max(c).alias(c) for c in ("n", "central", "room")])
 
 
-def with_sets(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """node, sig, n, tokens of the nodes in ``pairs`` (a, b), once each."""
+def with_sets(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, sig, n, tokens of ``nodes`` (one column), once each, in partitions by node.
+
+    A task passes a set on once, so copies meet in the shuffle once for each task.
+    """
     spark = sets.sparkSession
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits = bits_for(2 * max(1, pairs.count()))
+    bits = bits_for(max(1, nodes.count()))
 
     def doubled(column) -> np.ndarray:
         k = column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -230,12 +232,18 @@ def with_sets(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = spark.sparkContext.broadcast(build(nodes, lambda batches: (doubled(b.column(0)) for b in batches), bits, "once"))
 
     def run(batches):
+        passed: set[bytes] = set()
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(holds(wanted.value, positions(doubled(batch.column(0)), bits))))
+                hit = holds(wanted.value, positions(doubled(batch.column(0)), bits))
+                for k in np.flatnonzero(hit).tolist():
+                    sig = batch.column(1)[k].as_py()
+                    hit[k] = sig not in passed
+                    passed.add(sig)
+                yield batch.filter(pa.array(hit))
 
     some = sets.where("n >= 4").select("node", "sig", "n", "tokens").mapInArrow(run, "node long, sig binary, n long, tokens binary")
-    return some.groupBy("node", "sig").agg(F.first("n").alias("n"), F.min("tokens").alias("tokens"))
+    return some.repartition("node").dropDuplicates(["node", "sig"])
 
 
 def _overlap(first: pd.Series, second: pd.Series) -> pd.Series:
@@ -243,10 +251,15 @@ def _overlap(first: pd.Series, second: pd.Series) -> pd.Series:
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """a, b, a_sig, b_sig, common, joint (sizes of intersection and union) of each pair of nodes."""
-    known = store(with_sets(sets, pairs), "candidate-sets")
-    one = known.select(F.col("node").alias("a"), F.col("sig").alias("a_sig"), F.col("n").alias("a_n"), F.col("tokens").alias("a_tokens"))
-    two = known.select(F.col("node").alias("b"), F.col("sig").alias("b_sig"), F.col("n").alias("b_n"), F.col("tokens").alias("b_tokens"))
+    """a, b, a_sig, b_sig, common, joint (sizes of intersection and union) of each pair of nodes.
+
+    The sets of ``b`` come in partitions of the first join. Those of ``a``, few where they are leaders, are stored, so that
+    Spark can split the pairs of a hot leader in the second.
+    """
+    firsts = store(with_sets(sets, pairs.select("a").distinct()), "candidate-sets")
+    seconds = with_sets(sets, pairs.select("b").distinct())
+    one = firsts.select(F.col("node").alias("a"), F.col("sig").alias("a_sig"), F.col("n").alias("a_n"), F.col("tokens").alias("a_tokens"))
+    two = seconds.select(F.col("node").alias("b"), F.col("sig").alias("b_sig"), F.col("n").alias("b_n"), F.col("tokens").alias("b_tokens"))
     both = pairs.join(two, "b").join(one, "a")
     common = F.pandas_udf(_overlap, "long")("a_tokens", "b_tokens")
     out = both.select("a", "b", "a_sig", "b_sig", "a_n", "b_n", common.alias("common"))
