@@ -29,7 +29,7 @@ def _targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap: int)
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (nth % len(weights) + 1).cast("int"))
     full = F.col("_words") * cap
     order = Window.orderBy(full / F.col("_weight"), F.col("_source").asc_nulls_last())
-    filled = by_source.withColumn("_weight", weight)
+    filled = by_source.withColumn("_nr", nth).withColumn("_weight", weight)
     filled = filled.withColumns(
         {
             "_capped": F.coalesce(F.sum(full).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
@@ -43,7 +43,7 @@ def _targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap: int)
     target = F.when(F.col("_level").isNull(), full.cast("double")).otherwise(
         F.least(full.cast("double"), F.col("_level") * F.col("_weight"))
     )
-    return filled.select("_source", "_words", "_rows", target.alias("_target"), "_total")
+    return filled.select("_source", "_nr", "_words", "_rows", target.alias("_target"), "_total")
 
 
 def _cut(placed: DataFrame, share: float, rounds: int) -> float:
@@ -94,14 +94,15 @@ def schedule(
     known = sized.join(targets, sized["_source"].eqNullSafe(targets["_source"])).drop(targets["_source"])
     buckets = F.ceil(F.col("_rows") / BUCKET_ROWS)
     known = known.withColumn("_bucket", F.floor(F.col("_order") / F.lit(float(1 << 60)) * buckets))
-    sums = known.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
-    before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # The source by its number, which is never null: the join below keeps the partitions of the window, text stays in place.
+    sums = known.groupBy("_nr", "_bucket").agg(F.sum("_size").alias("_sum"))
+    before = Window.partitionBy("_nr").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
-        F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")
+        F.col("_nr").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")
     )
-    inside = Window.partitionBy("_source", "_bucket").orderBy("_order", "_id", "_crc").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_nr", "_bucket").orderBy("_order", "_id", "_crc").rowsBetween(Window.unboundedPreceding, 0)
     placed = known.withColumn("_inside", F.sum("_size").over(inside)).join(
-        sums, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))
+        sums, (F.col("_nr") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))
     )
     placed = placed.withColumn("_dealt", F.col("_base") + F.col("_inside"))
     placed = store(placed.select("row", "_size", "_words", "_target", "_total", "_dealt"), "mix-placed")
