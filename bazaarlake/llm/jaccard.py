@@ -8,7 +8,8 @@ so they share one of their first s - ceil(0.8 s) + 1 shingles, and two of one mo
   of theirs, and so do light sets that are large enough to link to a heavy one. The boundary is the size at which the
   rows of both sides cost least, from a histogram of set sizes.
 * A Bloom filter of keys seen twice leaves the keys of one set only where they are; the others are shuffled.
-* Shingles of a prefix that no other set has bound what a set can share; pairs beyond that bound are not candidates.
+* A key bounds what two sets share: if it is their first in common, what stands before it in either set is not shared. A pair
+  whose every key has a bound too low is not a candidate; the first key in common of a link never has.
 * A key with many sets is not spread into pairs. Its most central set leads: all others are compared with it. What links
   falls into one component and needs no more comparing, and what a set shares with the leader bounds what it shares with others.
   After two leaders only the pairs that are still open are listed, and 512 parity bits of each set rule out most of those.
@@ -160,28 +161,32 @@ class Keys:
     def __init__(self, levels: np.ndarray, boundary: int):
         self.levels, self.boundary = levels, boundary
 
-    def of(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
-        """Keys, and how central the set is: the mean frequency of its shingles, in thousandths of a level."""
+    def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Keys, the most that the set shares with one whose first key in common each is, and how central the set is: the
+        mean frequency of its shingles, in thousandths of a level."""
         n = len(tokens)
         level = self.levels[(tokens & np.uint64(len(self.levels) - 1)).astype(np.int64)]
         central = int(1000 * level.mean()) if n else 0
         if n < NUMERATOR:  # nothing but an equal set is near enough
-            return np.empty(0, np.uint64), central
+            return np.empty(0, np.uint64), np.empty(0, np.int64), central
         p = prefix_length(n)
         first = tokens[np.argsort(level.astype(np.uint64) << np.uint64(8 * BYTES) | tokens)[: p + 1]]
-        keys = []
+        keys, room = [], []
         if n <= self.boundary:
             a, b = np.triu_indices(len(first), 1)
             keys.append(_mixed(first[a] * _M2 ^ _mixed(first[b] + first[a])))
+            room.append(n + 1 - b)  # of the shingles before b only a is shared
         if n > self.boundary * NUMERATOR / DENOMINATOR:
             keys.append(_mixed(first[:p] + _M2))
-        return np.concatenate(keys), central
+            room.append(n - np.arange(p))
+        return np.concatenate(keys), np.concatenate(room), central
 
 
 def postings(sets: DataFrame, keys: Keys) -> DataFrame:
     """key, node, n, central, room of every key that is not of one set alone.
 
-    Shingles of a heavy set's prefix that no other set has cannot be shared: ``room`` is the set's size without them.
+    ``room`` is the set's size without the shingles that stand before the key, so it bounds what the set shares with a set
+    whose first key in common this is, and no other.
     """
     spark = sets.sparkSession
     shared = spark.sparkContext.broadcast(keys)
@@ -203,13 +208,13 @@ def postings(sets: DataFrame, keys: Keys) -> DataFrame:
         for batch in batches:
             out = [[], [], [], [], []]
             for raw, node, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                own, central = shared.value.of(unpack(raw))
+                own, room, central = shared.value.of(unpack(raw))
                 again = holds(twice.value, positions(doubled(own), bits))
-                alone = int((~again).sum()) if n > shared.value.boundary else 0
                 own = own[again]
                 out[0].append(own.view(np.int64))
-                for k, value in ((1, node), (2, n), (3, central), (4, n - alone)):
+                for k, value in ((1, node), (2, n), (3, central)):
                     out[k].append(np.full(len(own), value, np.int64))
+                out[4].append(room[again])
             if out[0]:
                 yield _batch({c: (np.concatenate(v), pa.int64()) for c, v in zip(("key", "node", "n", "central", "room"), out)})
 
@@ -290,7 +295,8 @@ def labelled(links: DataFrame) -> DataFrame:
 
 
 def _can_link(room: str, n: str, other_room: str, other_n: str):
-    """No intersection is larger than the room of either set; 0.8 of the union asks for 4/9 of both sizes."""
+    """Sets whose first key in common this is share no more than the room of either; 0.8 of the union asks for 4/9 of both
+    sizes. A link has such a key among those of both sets, so it is enough that one key of a pair passes."""
     least = F.least(F.col(room), F.col(other_room))
     return least * (NUMERATOR + DENOMINATOR) >= (F.col(n) + F.col(other_n)) * NUMERATOR
 
@@ -348,8 +354,8 @@ def links(sets: DataFrame) -> DataFrame:
     enough = F.lit(True)
     for own in rounds:
         # Both met the leader of this round: what they share lies within what each shares with the leader, or outside of
-        # it within what each has room for.
-        within = F.least(own, f"b_{own}") + F.least(F.col("room") - F.col(own), F.col("b_room") - F.col(f"b_{own}"))
+        # it within what each has besides.
+        within = F.least(own, f"b_{own}") + F.least(F.col("n") - F.col(own), F.col("b_n") - F.col(f"b_{own}"))
         fits = within * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("b_n")) * NUMERATOR
         enough = enough & (F.col(own).isNull() | F.col(f"b_{own}").isNull() | fits)
     listed = live.join(other, "key").where(

@@ -64,6 +64,26 @@ def test_jaccard_hot_group_of_near_copies(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
 
 
+@pytest.mark.parametrize("rare_first", [False, True])
+def test_jaccard_of_unequal_sizes(spark, rare_first):
+    """Heavy sets that lie whole in larger ones, at 0.80 to 0.90. With rare_first the larger set's own shingles lead its order."""
+    rng = random.Random(11)
+    texts = []
+    for k in range(24):
+        n = rng.randrange(66, 160)
+        more = n // 4 if k % 2 else rng.randrange(n // 9 + 1, n // 4 + 1)  # n of n + more shingles: 0.80 to 0.90
+        inner = [f"d{k}x{j}" for j in range(n + 4)]
+        texts += [inner, [f"o{k}x{j}" for j in range(more)] + inner]
+        if rare_first:  # the inner shingles stand in other sets too, which link with none
+            half = len(inner) // 2
+            for c in range(3):
+                texts += [part + [f"f{k}x{c}y{h}x{j}" for j in range(90)] for h, part in enumerate((inner[: half + 4], inner[half:]))]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    want = brute_components(rows)
+    assert len({c for _, _, c in want}) == len(rows) - 24
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == want
+
+
 def test_jaccard_bits_and_packing():
     cache = jaccard._WordHashes()
     one, two = (jaccard.shingle_hashes(t, cache) for t in ("a b c d e f g h", "a b c d e f g i"))
