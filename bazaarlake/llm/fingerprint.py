@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import store
 
-LEAST, NORMAL, MOST = 32, 96, 384
-HARD_BITS, EASY_BITS = 8, 5
-DIGEST = 5  # bytes of a chunk's digest
+#: Fine enough that texts of a few hundred bytes have several chunks, and so stay alike to themselves after an edit.
+LEAST, NORMAL, MOST = 24, 64, 256
+HARD_BITS, EASY_BITS = 7, 4
+DIGEST = 6  # bytes of a chunk's digest
 WINDOW = 32
 LAST_KEY = (1 << 63) - 1
 

@@ -215,6 +215,18 @@ def test_chunks_follow_content():
     assert sum(n for n in one.values()) == len(text)
 
 
+@pytest.mark.parametrize(("least", "most", "lost", "mean"), [(100, 149, 0.3, 0.3), (150, 249, 0.06, 0.45), (250, 399, 0.01, 0.58)])
+def test_short_texts_stay_like_their_edits(least, most, lost, mean):
+    """Three quarters of a text are kept: few short texts share no chunk with their edited text."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10))) for _ in range(4000)]
+    texts = [" ".join(rng.choices(words, k=80))[: rng.randrange(least, most + 1)] for _ in range(2000)]
+    edited = [t[: len(t) - len(t) // 4] + h[: len(t) // 4] for t, h in zip(texts, texts[1:] + texts[:1])]
+    near = [fingerprint.likeness(a, b) for a, b in zip(fingerprint.chunks(texts), fingerprint.chunks(edited))]
+    assert sum(x == 0 for x in near) / len(near) < lost
+    assert sum(near) / len(near) > mean
+
+
 def test_neighbours_recall_and_odd_vectors(spark):
     rows = read(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding")
     odd = spark.createDataFrame([(900_000, None), (900_020, [0.0] * 64), (900_040, [float("nan")] * 64), (900_060, [1.0])], "vec_id long, embedding array<float>")
