@@ -4,8 +4,9 @@ Every line of a labelled document takes its document's label. The chain sees fig
 and after it, and forward-backward gives each line the probability of being good. A document's quality is their mean
 weighted by line length, brought to a probability by a two-parameter logistic curve fitted on the same labelled rows.
 
-The model is fitted on at most ``TRAIN_DOCUMENTS`` labelled documents, taken by a hash of their id; ids whose crc32 leaves 1
-when divided by 3 are held out. Only text is an input of a score.
+The model is fitted on at most ``TRAIN_DOCUMENTS`` labelled documents of together at most ``TRAIN_CHARACTERS`` characters, taken
+by a hash of their id: an id counts once, with its smallest text, and a document that no longer fits is passed over. Ids whose
+crc32 leaves 1 when divided by 3 are held out. Only text is an input of a score, and every row is scored.
 
 Defined cases: null or empty text is one empty line; a label other than 0 and 1, or null, is not used; documents labelled twice
 use the smaller label; without usable labels of both kinds every score is 0.5; repeated rows score alike; an empty table
@@ -19,9 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlake.llm.common import store
 from bazaarlake.llm.crf import CRF
 
 TRAIN_DOCUMENTS = 3000
+TRAIN_CHARACTERS = 64_000_000  # that go to the driver
 CLASSES = 8  # of bytes
 _UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _BAR, _ODD, _HIGH = range(CLASSES)
 
@@ -121,11 +124,22 @@ def held_out():
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3)) == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS) -> QualityModel:
-    """Fits on at most ``most`` labelled documents that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS, characters: int = TRAIN_CHARACTERS) -> QualityModel:
+    """Fits on at most ``most`` labelled documents that are not held out, of at most ``characters`` characters together."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     chosen = usable.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").collect()
+    # One row an id before anything is collected, however often the id repeats.
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+    found = store(found.agg(F.min("text").alias("text"), F.min("quality").alias("quality")), "training")
+    sizes = found.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"), F.xxhash64("doc_id").alias("place")).collect()
+    taken, left = [], characters
+    for row in sorted(sizes, key=lambda r: (r["place"], r["doc_id"])):
+        if row["size"] <= left:
+            taken.append(row["doc_id"])
+            left -= row["size"]
+    if len(taken) < len(sizes):
+        found = found.where(F.col("doc_id").isin(taken))
+    rows = sorted(found.collect(), key=lambda r: r["doc_id"])
     return QualityModel([r["text"] or "" for r in rows], [r["quality"] for r in rows])
 
 

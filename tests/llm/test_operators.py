@@ -194,6 +194,19 @@ def test_quality_without_labels(documents, no_documents, spark):
     assert quality.score(no_documents, none).count() == 0
 
 
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    """An id that repeats goes to the driver once, and characters are bounded as documents are."""
+    monkeypatch.setattr(quality, "QualityModel", lambda texts, labels: (texts, labels))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, f"text {i} " + "x" * 91) for i in ids] + [(ids[0], f"z again {k}") for k in range(300)] + [(ids[1], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert quality.fit(docs, labels) == ([t for _, t in rows[: len(ids)]], [i % 2 for i in ids])
+    texts, _ = quality.fit(docs, labels, characters=1000)
+    assert 900 < sum(map(len, texts)) <= 1000 and set(texts) <= {t for _, t in rows}
+    assert quality.fit(docs, labels, characters=0) == ([], [])
+
+
 def test_fingerprints(documents, no_documents):
     rows = {r["doc_id"]: r for r in fingerprint.compare_with_edits(documents).collect()}
     texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
