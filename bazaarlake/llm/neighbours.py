@@ -5,7 +5,8 @@ part. The classifier then gives every vector its part and sends each query to it
 are ranked by exact inner products. The number of parts to search is the least that reaches ``RECALL`` on the sample.
 
 Equal vectors are one class with its smallest ids: they score alike, ties go to the smaller id, so no more of them can ever
-be asked for. Parts are split into blocks of bounded size, so no task grows with a part.
+be asked for. Parts are split into blocks of about ``BLOCK_ROWS`` classes and queries into blocks of about ``QUERY_ROWS``; a task
+ranks one block of a part for one block of queries, so none grows with a part or with the number of queries.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold a null, NaN or infinity take no
 part; repeated rows (equal id and vector) count once; a query with fewer other vectors gets all of them; a table without
@@ -27,6 +28,7 @@ SAMPLE = 6000
 RECALL = 0.97
 NEIGHBOURS = 20
 BLOCK_ROWS = 4096
+QUERY_ROWS = 8192
 MOST_PARTS = 256
 
 
@@ -131,6 +133,13 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+def in_blocks(asked: DataFrame, index: DataFrame, queries: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``block``: queries by a hash of their id, the index once for each block of queries."""
+    blocks = max(1, -(-queries // QUERY_ROWS))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks).cast("long")))
+    return asked, index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))) if blocks > 1 else F.lit(0).cast("long"))
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, sample: int = SAMPLE, parts: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of each row whose id is divisible by ``every``."""
     rows = store(usable(vectors).distinct(), "vectors")
@@ -179,7 +188,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, sample: int
     count = F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("part")) if blocks else F.lit(1)
     cell = F.shiftleft(F.col("part").cast("long"), 32).bitwiseOR(F.pmod(F.xxhash64("id"), count))
     index = placed.select(cell.alias("cell"), "vector", "ids")
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.explode(targets_of("vector")).alias("cell"), F.col("vec_id").alias("query_id"), "vector")
+    queries = rows.where(F.col("vec_id") % every == 0)
+    asked = queries.select(F.explode(targets_of("vector")).alias("cell"), F.col("vec_id").alias("query_id"), "vector")
+    asked, index = in_blocks(asked, index, queries.count())
 
     def rank(queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -202,6 +213,6 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, sample: int
                     out["score"] += [-s for s, _ in found]
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = asked.groupBy("cell").cogroup(index.groupBy("cell")).applyInPandas(rank, "query_id long, vec_id long, score double")
+    found = asked.groupBy("cell", "block").cogroup(index.groupBy("cell", "block")).applyInPandas(rank, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

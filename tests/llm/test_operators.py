@@ -264,3 +264,22 @@ def test_neighbours_of_copies(spark):
     out = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == 0] == list(range(1, 21))
     assert neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>").where("vec_id < 0")).count() == 0
+
+
+def test_neighbours_in_blocks_of_queries(spark, monkeypatch):
+    """No group holds all queries of a part, and the blocks give what one block gives."""
+    rng = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(400, 8)).tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = sorted(tuple(r) for r in neighbours.search(vectors, every=2).collect())
+    sizes, in_blocks = [], neighbours.in_blocks
+
+    def watched(asked, index, queries):
+        asked, index = in_blocks(asked, index, queries)
+        sizes.append(asked.groupBy("cell", "block").count().agg(F.max("count")).first()[0])
+        return asked, index
+
+    monkeypatch.setattr(neighbours, "in_blocks", watched)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 20)
+    assert sorted(tuple(r) for r in neighbours.search(vectors, every=2).collect()) == whole
+    assert len(whole) == 200 * 20 and 0 < sizes[0] <= 45
