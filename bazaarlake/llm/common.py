@@ -82,3 +82,19 @@ def running_offsets(counts: DataFrame, key: str, value: str, block: int = 4096)
         .withColumn("offset", F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .drop("_block", "_base")
     )
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``at``, the place (from 0) of each row in the global order, which is not asked to be total.
+
+    The rows are range-sorted and written; a row's place is its place in its file, shifted by the rows of the files before. No task
+    sees more than its range, and a retried one reads the same files.
+    """
+    path = f"{shared_folder(df.sparkSession)}/bazaarlake-{name}-{uuid.uuid4().hex}"
+    df.orderBy(*order).write.option("maxRecordsPerFile", 0).parquet(path)  # one file a task
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    file = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-", 1).cast("long")
+    rows = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy("_file").agg(F.count("*").alias("_rows"))
+    offsets = running_offsets(files, "_file", "_rows").select("_file", "offset")
+    return rows.join(offsets, "_file").withColumn("at", F.col("offset") + F.col("_row")).drop("_file", "_row", "offset")

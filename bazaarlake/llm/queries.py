@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import bpe, chat, fingerprint, jaccard, lines, mixing, neighbours, pii, quality, sharding
+from bazaarlake.llm import (
+    bpe, chat, fingerprint, jaccard, lines, mixing, negatives, neighbours, packing, pii, quality, resampling, sharding
+)
 from bazaarlake.llm.common import read
 
 
@@ -149,8 +151,48 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    out = resampling.resample(docs.select("doc_id", "text"), target.select("text"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(read(spark, sf_dir, "embeddings")))
+
+
+OP13_SQL = r"""
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.q, b.q)::bigint as score
+  from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+       row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)::int as rank,
+       s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+ and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+qualify rank <= 5
+"""
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_neighbours, op3_shuffle, op4_bpe, op5_jaccard, op6_lines, op7_chat, op8_mix, op9_quality, op10_fingerprint)
+    for f in (
+        op1_pii, op2_neighbours, op3_shuffle, op4_bpe, op5_jaccard, op6_lines, op7_chat, op8_mix, op9_quality, op10_fingerprint,
+        op11_pack, op12_resample, op13_negatives,
+    )
 }
-SQL = {"op6_lines": OP6_SQL, "op7_chat": OP7_SQL, "op8_mix": OP8_SQL}
+SQL = {"op6_lines": OP6_SQL, "op7_chat": OP7_SQL, "op8_mix": OP8_SQL, "op13_negatives": OP13_SQL}
