@@ -82,6 +82,20 @@ def library_ids():
     return lambda text: own.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_are_split_as_the_tokenizer_splits():
+    known = packing.WordIds(packing.bpe.default_path())
+    letters = [chr(c) for c in range(0x2500) if chr(c).isprintable() or c < 160] + list("€'st 09aZßÀΣ<|")
+    random.seed(2)
+    for _ in range(20_000):
+        text = "".join(random.choices(letters, k=12))
+        low = text.lower()
+        if packing.SIMPLE.fullmatch(low):
+            assert packing.PLAIN.findall(low) == known.tokenizer.pattern.findall(low), text
+    for char in letters:
+        for text in (f"a{char}1{char}{char}b ", f"it's{char}"):
+            assert known.words(text) == known.tokenizer.pieces(text), text
+
+
 def test_query_against_the_library(spark, folder):
     texts = {r["doc_id"]: r["text"] for r in read(spark, folder, "documents").select("doc_id", "text").collect()}
     frame = queries.op11_pack(spark, folder)
