@@ -298,5 +298,42 @@ HOLIDAYS_2024 = [
     "2024-07-30", "2024-08-14", "2024-08-20", "2024-08-21", "2024-11-06", "2024-11-18",
 ]
 GOLD_CALENDAR_START, GOLD_CALENDAR_END = "2024-01-01", "2030-12-31"
+#: Days beyond these are taken for typing errors when a calendar is fitted to the facts.
+EARLIEST_DAY, LATEST_DAY = "1970-01-01", "2069-12-31"
+OUTSIDE_CALENDAR = "Jour hors calendrier"
+ORDER_IN_QUARANTINE = "Commande en quarantaine"
+
+#: Keys that gold tables carry: column, parent, parent's key, whether it may be NULL.
+GOLD_REFERENCES: dict[str, tuple[tuple[str, str, str, bool], ...]] = {
+    "dim_produit": (("fournisseur_sk", "dim_fournisseur", "fournisseur_sk", True),),
+    "fait_stock": (
+        ("date_snapshot_sk", "dim_temps", "temps_sk", False),
+        ("produit_sk", "dim_produit", "produit_sk", False),
+        ("magasin_sk", "dim_magasin", "magasin_sk", False),
+    ),
+    "fait_commandes": (
+        ("fournisseur_sk", "dim_fournisseur", "fournisseur_sk", False),
+        ("magasin_sk", "dim_magasin", "magasin_sk", False),
+        ("date_commande_sk", "dim_temps", "temps_sk", False),
+        ("date_livraison_prev_sk", "dim_temps", "temps_sk", False),
+    ),
+    "fait_lignes_commandes": (
+        ("commande_sk", "fait_commandes", "commande_sk", False),
+        ("produit_sk", "dim_produit", "produit_sk", False),
+    ),
+    "fait_ventes": (
+        ("date_sk", "dim_temps", "temps_sk", False),
+        ("magasin_sk", "dim_magasin", "magasin_sk", False),
+        ("client_sk", "dim_client", "client_sk", True),
+        ("produit_sk", "dim_produit", "produit_sk", False),
+    ),
+    "fait_retours": (
+        ("produit_sk", "dim_produit", "produit_sk", False),
+        ("magasin_sk", "dim_magasin", "magasin_sk", False),
+        ("client_sk", "dim_client", "client_sk", True),
+        ("date_vente_originale_sk", "dim_temps", "temps_sk", False),
+        ("date_retour_sk", "dim_temps", "temps_sk", False),
+    ),
+}
 
 EVENT_SALE, EVENT_RETURN = "VENTE", "RETOUR"

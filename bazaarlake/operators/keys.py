@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def key_bucket(columns: list[str], digits: int) -> Column:
@@ -18,7 +19,7 @@ def dense_keys(df: DataFrame, columns: list[str], name: str, digits: int = 3, st
     Rows are numbered inside 16**digits buckets, then shifted by the size of the earlier
     buckets. The bucket depends on the key only, so a retried task numbers its rows the
     same way. The running total and the broadcast cover at most 16**digits rows (25 MB at 5 digits),
-    whatever the data size. Take 5 for facts: a bucket of 5e11 rows then holds half a million.
+    whatever the data size. Facts take ``number_written``.
     """
     bucketed = df.withColumn("_bucket", key_bucket(columns, digits))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
@@ -30,6 +31,24 @@ def dense_keys(df: DataFrame, columns: list[str], name: str, digits: int = 3, st
     return numbered.select(key.alias(name), *df.columns)
 
 
+def number_written(
+    spark: SparkSession, path: str, schema: StructType, name: str, start: int = 1, where: str | None = None
+) -> DataFrame:
+    """The rows of a written table (those of a partition filter ``where``) with ``name``: start, start+1, ... by file and place in the file.
+
+    A row's number is its place plus the rows of the files before, so there is no shuffle and no sort of rows. Files do not
+    change once written, hence a retried task gives the same numbers. The running total covers one row a file.
+    """
+    rows = spark.read.schema(schema).parquet(path)
+    rows = rows.where(where) if where else rows
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    running = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_file", F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_shift"))
+    key = (F.col("_row") + F.col("_shift") + F.lit(start)).cast("long")
+    return placed.join(shifts, "_file").select(key.alias(name), *rows.columns)
+
+
 def extend_keys(known: DataFrame, current: DataFrame, natural: str, name: str, digits: int = 3) -> DataFrame:
     """The key map ``(natural, name)`` kept across refreshes.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import contract
 from bazaarlake.functions.text import is_email, row_document
-from bazaarlake.operators.joins import flag_orphans, orphan_rows
+from bazaarlake.operators.joins import flag_orphans
 
 VERDICT = "_verdict"
 LANDED = "_landed"
@@ -181,31 +181,6 @@ def key_audit(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataF
     return reduce(DataFrame.unionByName, parts)
 
 
-def reference_audit(
-    checks: list[tuple[str, DataFrame, str, DataFrame, str]],
-) -> DataFrame:
-    """Orphan counts for ``(name, child, fk, parent, pk)`` checks.
-
-    The child's keys are counted before the shuffle, so the anti join meets each key once.
-    """
-    parts = []
-    for name, child, fk, parent, pk in checks:
-        per_key = child.groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
-        orphans = orphan_rows(per_key, fk, parent, pk)
-        parts.append(
-            orphans.agg(
-                F.count(F.lit(1)).alias("nb_cles_orphelines"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("nb_lignes_orphelines"),
-            ).select(
-                F.lit(name).alias("table_name"),
-                F.lit(fk).alias("cle"),
-                "nb_cles_orphelines",
-                "nb_lignes_orphelines",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
-
-
 def rule_counts(df: DataFrame, table_name: str, rules: list[Rule]) -> DataFrame:
     """How many rows break each rule on its own, in one pass."""
     counts = df.agg(*[F.expr(f"count_if({r.broken})").alias(r.rule_id) for r in rules])

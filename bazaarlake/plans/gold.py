@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import contract
 from bazaarlake.functions.dates import date_key
-from bazaarlake.operators.calendar import warehouse_calendar
-from bazaarlake.operators.joins import Lookup
-from bazaarlake.operators.keys import dense_keys, extend_keys
+from bazaarlake.operators.calendar import calendar, fitted_bounds
+from bazaarlake.operators.joins import Lookup, flag_orphans
+from bazaarlake.operators.keys import dense_keys, extend_keys, number_written
+from bazaarlake.sources.tables import write_table
 
 # Surrogate key of each gold table; the calendar's key is the date itself.
 SURROGATE = {
@@ -87,21 +90,33 @@ def build_customers(silver: DataFrame, known: DataFrame | None = None, audit: bo
     return _dimension(silver, contract.CUSTOMERS, known, audit)
 
 
-def build_calendar(spark: SparkSession) -> DataFrame:
-    return warehouse_calendar(spark)
+# The days of each fact, from which the calendar takes its range.
+FACT_DAYS = {
+    "fait_stock": ["date_snapshot"],
+    "fait_commandes": ["date_commande", "date_livraison_prev"],
+    "fait_ventes": ["date_vente"],
+    "fait_retours": ["date_vente_originale", "date_retour"],
+}
+
+
+def build_calendar(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """All days of the years that the facts touch. Days before ``EARLIEST_DAY`` or after ``LATEST_DAY`` are errors and leave no
+    trace in the calendar; facts on such days go to the quarantine of gold."""
+    facts = {name: (silver[name], days) for name, days in FACT_DAYS.items()}
+    return calendar(fitted_bounds(facts, contract.EARLIEST_DAY, contract.LATEST_DAY))
 
 
 def build_dimensions(
     silver: dict[str, DataFrame],
-    calendar: DataFrame | None = None,
+    days: DataFrame | None = None,
     known: dict[str, DataFrame] | None = None,
     audit: bool = False,
 ) -> dict[str, DataFrame]:
-    """``calendar`` replaces the default 2024-2030 one; ``known`` holds earlier key maps."""
+    """``days`` replaces the calendar fitted to the facts; ``known`` holds earlier key maps."""
     known = known or {}
     suppliers = build_suppliers(silver["dim_fournisseur"], known.get("dim_fournisseur"), audit)
-    if calendar is None:
-        calendar = build_calendar(silver["dim_fournisseur"].sparkSession)
+    if days is None:
+        days = build_calendar(silver)
     return {
         "dim_magasin": build_stores(silver["dim_magasin"], known.get("dim_magasin"), audit),
         "dim_fournisseur": suppliers,
@@ -109,7 +124,7 @@ def build_dimensions(
             silver["dim_produit"], suppliers, known.get("dim_produit"), audit
         ),
         "dim_client": build_customers(silver["dim_client"], known.get("dim_client"), audit),
-        "dim_temps": calendar,
+        "dim_temps": days,
     }
 
 
@@ -141,8 +156,9 @@ def build_orders(silver: DataFrame, keys: KeyMaps, numbered: bool = True) -> Dat
     return dense_keys(headers, ["commande_nk"], "commande_sk") if numbered else headers
 
 
-def build_order_lines(silver: DataFrame, keys: KeyMaps, orders: DataFrame) -> DataFrame:
-    numbered = Lookup(orders, "commande_nk", ["commande_sk"]).attach(silver)
+def build_order_lines(silver: DataFrame, keys: KeyMaps, orders: DataFrame, how: str = "inner") -> DataFrame:
+    """``how="left"`` keeps lines whose order gold does not have, for ``judged`` to reject."""
+    numbered = Lookup(orders, "commande_nk", ["commande_sk"]).attach(silver, how)
     return keys.attach(numbered, "dim_produit").select(
         "commande_sk", "produit_sk", "quantite_commandee", "prix_unitaire_achat", "montant_ligne_ht"
     )
@@ -184,34 +200,35 @@ def build_returns(silver: DataFrame, keys: KeyMaps) -> DataFrame:
     )
 
 
-# Unique business key of each gold fact, by which its rows are numbered.
-LINE_KEY = {
-    "fait_stock": ["date_snapshot_sk", "produit_sk", "magasin_sk"],
-    "fait_lignes_commandes": ["commande_sk", "produit_sk"],
-    "fait_ventes": ["ticket_nk", "produit_sk"],
-    "fait_retours": ["retour_nk"],
-}
+# Gold facts whose rows carry a number of their own; orders are numbered by their natural key, which their lines need.
+LINE_KEYED = ("fait_stock", "fait_lignes_commandes", "fait_ventes", "fait_retours")
 
 
-def number_lines(fact: DataFrame, table: str, key: list[str] | None = None) -> DataFrame:
-    """Adds the fact's own dense surrogate key. The views count rows and do not need it."""
-    return dense_keys(fact, key or LINE_KEY[table], SURROGATE[table])
+def judged(fact: DataFrame, table: str, known_days: DataFrame) -> DataFrame:
+    """``fact`` with ``rejected`` and ``reason``: rows with a day that the calendar lacks or, for order lines, whose order is
+    itself in quarantine."""
+    days = [c for c, parent, _, _ in contract.GOLD_REFERENCES[table] if parent == "dim_temps"]
+    flagged, columns = fact, fact.columns
+    for i, day in enumerate(days):
+        flagged = flag_orphans(flagged, day, known_days, "temps_sk", f"_outside_{i}")
+    outside = reduce(lambda a, b: a | b, [F.col(f"_outside_{i}") | F.col(c).isNull() for i, c in enumerate(days)], F.lit(False))
+    reason = F.when(outside, contract.OUTSIDE_CALENDAR)
+    if table == "fait_lignes_commandes":
+        reason = F.when(F.col("commande_sk").isNull(), contract.ORDER_IN_QUARANTINE)
+    return flagged.select(*columns, reason.alias("reason")).withColumn("rejected", F.col("reason").isNotNull())
 
 
-def build_facts(
-    silver: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
-    line_keys: bool = False,
-) -> dict[str, DataFrame]:
-    keys = KeyMaps(dims)
-    orders = build_orders(silver["fait_commandes"], keys)
-    facts = {
-        "fait_stock": build_stock(silver["fait_stock"], keys),
-        "fait_commandes": orders,
-        "fait_lignes_commandes": build_order_lines(silver["fait_lignes_commandes"], keys, orders),
-        "fait_ventes": build_sales(silver["fait_ventes"], keys),
-        "fait_retours": build_returns(silver["fait_retours"], keys),
-    }
-    if line_keys:
-        facts = {n: number_lines(f, n) if n in LINE_KEY else f for n, f in facts.items()}
-    return facts
+def stage(fact: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Writes a fact once, where its rows are, and returns it as read back, with the row count.
+
+    What is kept, what is rejected and the rows' numbers all start from these files, so the joins run once. A judged
+    fact is written split by verdict.
+    """
+    rows = write_table(fact, path, partition_by="rejected" if "rejected" in fact.columns else None, rebalance=False)
+    return fact.sparkSession.read.schema(fact.schema).parquet(path), rows
+
+
+def number_lines(staged: DataFrame, table: str, path: str) -> DataFrame:
+    """The kept rows of a staged fact with its own dense surrogate key. The views count rows and do not need it."""
+    kept = "NOT rejected" if "rejected" in staged.columns else None
+    return number_written(staged.sparkSession, path, staged.schema, SURROGATE[table], where=kept)

@@ -221,32 +221,3 @@ def clean_returns(landed: DataFrame, dims: dict[str, DataFrame], options: Option
     }
     rules = _rules(t, required, quantite_not_positive="quantite_retournee <= 0")
     return _clean(t, landed, rules, dims, readings, options, not_required=waived)
-
-
-# --- all tables, in dependency order ------------------------------------------------------
-
-
-def clean_dimensions(bronze: dict[str, DataFrame], options: Options = DEFAULTS) -> dict[str, Cleaned]:
-    suppliers = clean_suppliers(bronze["dim_fournisseur"], options)
-    return {
-        "dim_magasin": clean_stores(bronze["dim_magasin"], options),
-        "dim_fournisseur": suppliers,
-        "dim_produit": clean_products(bronze["dim_produit"], suppliers.valid, options),
-        "dim_client": clean_customers(bronze["dim_client"], options),
-        "dim_temps": clean_calendar(bronze["dim_temps"], options),
-    }
-
-
-def clean_facts(
-    bronze: dict[str, DataFrame], dims: dict[str, DataFrame], options: Options = DEFAULTS
-) -> dict[str, Cleaned]:
-    orders = clean_orders(bronze["fait_commandes"], dims, options)
-    return {
-        "fait_stock": clean_stock(bronze["fait_stock"], dims, options),
-        "fait_commandes": orders,
-        "fait_lignes_commandes": clean_order_lines(
-            bronze["fait_lignes_commandes"], dims, orders.valid, options
-        ),
-        "fait_ventes": clean_sales(bronze["fait_ventes"], dims, options),
-        "fait_retours": clean_returns(bronze["fait_retours"], dims, options),
-    }

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.amounts import percent, quotient, ratio, zero_if_null
+from bazaarlake.operators.distinct import distinct_counts
 from bazaarlake.operators.joins import Lookup
 
 Gold = dict[str, DataFrame]
@@ -35,12 +36,17 @@ def _resum(*extra):
 def kpi_overview(gold: Gold) -> DataFrame:
     """One row of company-wide figures."""
     sales = gold["fait_ventes"]
-    totals = sales.agg(
-        *_sales_measures(),
-        F.count_distinct("client_sk").alias("clients_actifs"),
-        F.count_distinct("magasin_sk").alias("total_magasins"),
-        F.count_distinct("produit_sk").alias("total_produits_vendus"),
-    )
+    totals = distinct_counts(
+        sales,
+        {"clients_actifs": "client_sk", "total_magasins": "magasin_sk", "total_produits_vendus": "produit_sk"},
+        {
+            "n": F.lit(1),
+            "articles": F.col("quantite"),
+            "ttc": F.col("montant_ttc"),
+            "ht": F.col("montant_ht"),
+            "marge": F.col("marge_brute_total"),
+        },
+    ).withColumn("n", F.coalesce("n", F.lit(0)))
     return totals.select(
         F.col("n").alias("total_transactions"),
         F.col("articles").alias("total_articles_vendus"),
@@ -146,14 +152,15 @@ def product_performance(gold: Gold, category: str | None = None, ordered: bool =
 
 def customer_behaviour(gold: Gold, ordered: bool = True) -> DataFrame:
     """Every customer, with purchases, spend and first and last purchase day."""
-    days = gold["dim_temps"].select(F.col("temps_sk").alias("date_sk"), "date_complete")
+    days = gold["dim_temps"].select(F.col("temps_sk").alias("_sk"), "date_complete")
     known = gold["fait_ventes"].where(F.col("client_sk").isNotNull())
-    dated = Lookup(days, "date_sk", ["date_complete"]).attach(known, "left")
-    bought = dated.groupBy("client_sk").agg(
-        *_sales_measures(),
-        F.min("date_complete").alias("date_premier_achat"),
-        F.max("date_complete").alias("date_dernier_achat"),
+    # Date keys sort like days, so the calendar meets one row for each customer.
+    bought = known.groupBy("client_sk").agg(
+        *_sales_measures(), F.min("date_sk").alias("_premier"), F.max("date_sk").alias("_dernier")
     )
+    for end in ("premier", "dernier"):
+        named = days.select(F.col("_sk").alias(f"_{end}"), F.col("date_complete").alias(f"date_{end}_achat"))
+        bought = Lookup(named, f"_{end}", [f"date_{end}_achat"]).attach(bought, "left")
     n, spent = zero_if_null(F.col("n")), zero_if_null(F.col("ttc"))
     view = gold["dim_client"].join(bought, "client_sk", "left").select(
         "client_sk",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import contract
 from bazaarlake.functions.dates import month_of_key
+from bazaarlake.functions.text import row_document
 from bazaarlake.operators import quality
 from bazaarlake.operators.dedup import keep_first
 from bazaarlake.plans import gold, silver
@@ -30,9 +31,8 @@ def _store(lake: Lake, cleaned: Cleaned, audit: bool) -> DataFrame:
         cleaned.assessed.rule_id.alias("rule_id"),
         failed.alias("rejected"),
     )
-    path = lake.path("staging", name)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rejected").parquet(path)
-    stage = lake.spark.read.schema(staged.schema).parquet(path)
+    lake.write(staged, "staging", name, partition_by="rejected", rebalance=False)
+    stage = lake.spark.read.schema(staged.schema).parquet(lake.path("staging", name))
     rows = keep_first(stage.where(~F.col("rejected")).select(*cleaned.table.names), list(cleaned.key))
     if audit:
         rows = rows.withColumn("cleaned_at", F.current_timestamp())
@@ -55,26 +55,47 @@ def with_stream(lake: Lake, landed: DataFrame, table: str) -> DataFrame:
 def run_silver(lake: Lake, options: Options = silver.DEFAULTS, audit: bool = True) -> DataFrame:
     """Cleans every bronze table into silver; returns the bronze to silver report.
 
-    Full refresh: a rerun replaces silver and its rejects.
+    Full refresh: silver and its rejects are written as a new version, which replaces the old one at the end.
     """
-    bronze = lake.read_layer("bronze")
-    for name in ("fait_ventes", "fait_retours"):
-        bronze[name] = with_stream(lake, bronze[name], name)
-    suppliers = _store(lake, silver.clean_suppliers(bronze["dim_fournisseur"], options), audit)
-    dims = {
-        "dim_magasin": _store(lake, silver.clean_stores(bronze["dim_magasin"], options), audit),
-        "dim_fournisseur": suppliers,
-        "dim_produit": _store(lake, silver.clean_products(bronze["dim_produit"], suppliers, options), audit),
-        "dim_client": _store(lake, silver.clean_customers(bronze["dim_client"], options), audit),
-        "dim_temps": _store(lake, silver.clean_calendar(bronze["dim_temps"], options), audit),
-    }
-    _store(lake, silver.clean_stock(bronze["fait_stock"], dims, options), audit)
-    orders = _store(lake, silver.clean_orders(bronze["fait_commandes"], dims, options), audit)
-    lines = silver.clean_order_lines(bronze["fait_lignes_commandes"], dims, orders, options)
-    _store(lake, lines, audit)
-    _store(lake, silver.clean_sales(bronze["fait_ventes"], dims, options), audit)
-    _store(lake, silver.clean_returns(bronze["fait_retours"], dims, options), audit)
-    return layer_diff(bronze, lake.read_layer("silver"))
+    with lake.refresh("staging", keep=1) as lake_out, lake_out.refresh("silver") as out:
+        bronze = lake.read_layer("bronze")
+        for name in ("fait_ventes", "fait_retours"):
+            bronze[name] = with_stream(lake, bronze[name], name)
+        suppliers = _store(out, silver.clean_suppliers(bronze["dim_fournisseur"], options), audit)
+        dims = {
+            "dim_magasin": _store(out, silver.clean_stores(bronze["dim_magasin"], options), audit),
+            "dim_fournisseur": suppliers,
+            "dim_produit": _store(out, silver.clean_products(bronze["dim_produit"], suppliers, options), audit),
+            "dim_client": _store(out, silver.clean_customers(bronze["dim_client"], options), audit),
+            "dim_temps": _store(out, silver.clean_calendar(bronze["dim_temps"], options), audit),
+        }
+        _store(out, silver.clean_stock(bronze["fait_stock"], dims, options), audit)
+        orders = _store(out, silver.clean_orders(bronze["fait_commandes"], dims, options), audit)
+        lines = silver.clean_order_lines(bronze["fait_lignes_commandes"], dims, orders, options)
+        _store(out, lines, audit)
+        _store(out, silver.clean_sales(bronze["fait_ventes"], dims, options), audit)
+        _store(out, silver.clean_returns(bronze["fait_retours"], dims, options), audit)
+    # What was staged is what was read, streamed rows included.
+    return layer_diff(lake.counts("staging"), lake.counts("silver"))
+
+
+def _store_fact(lake: Lake, name: str, fact: DataFrame, days: DataFrame, line_keys: bool) -> DataFrame:
+    """Stages a fact with its verdicts, then writes what is kept to gold and the rest to gold's quarantine."""
+    path = lake.path("staging_gold", name)
+    staged, rows = gold.stage(gold.judged(fact, name, days), path)
+    lake.record("staging_gold", name, rows)
+    number = line_keys and name in gold.LINE_KEYED
+    kept = gold.number_lines(staged, name, path) if number else staged
+    kept = kept.where(~F.col("rejected")).drop("reason", "rejected")
+    day = gold.PARTITION_DATE.get(name)
+    if day:
+        kept = kept.withColumn("annee_mois", month_of_key(F.col(day)))
+    lake.write(kept, "gold", name, partition_by="annee_mois" if day else None)
+    rejects = staged.where("rejected").select(
+        F.lit(name).alias("table_name"), row_document(fact.columns).alias("record_data"), "reason"
+    )
+    lake.add_rejects(rejects, name, layer="gold")
+    return lake.read("gold", name)
 
 
 def run_gold(
@@ -86,38 +107,34 @@ def run_gold(
 ) -> DataFrame:
     """Builds gold from silver; returns the silver to gold report.
 
-    ``keep_keys`` keeps the surrogate keys of dimension rows that gold already holds.
+    Without ``calendar`` the days are those of the facts' years. Facts on days that the calendar lacks go to gold's quarantine.
+    ``keep_keys`` keeps the surrogate keys of dimension rows that gold already holds. Gold is written as a new version,
+    which replaces the old one at the end.
     """
-    source = lake.read_layer("silver")
-    known = {}
-    if keep_keys:
-        for table in contract.DIMENSIONS[:-1]:
-            surrogate = gold.SURROGATE[table.name]
-            earlier = lake.read("gold", table.name).select(*table.key, surrogate)
-            known[table.name] = lake.hand_off(earlier, "keys", table.name)
-    built = gold.build_dimensions(source, calendar, known, audit)
-    dims = {"dim_fournisseur": lake.hand_off(built["dim_fournisseur"], "gold", "dim_fournisseur")}
-    products = gold.build_products(
-        source["dim_produit"], dims["dim_fournisseur"], known.get("dim_produit"), audit
-    )
-    dims["dim_produit"] = lake.hand_off(products, "gold", "dim_produit")
-    for name in ("dim_magasin", "dim_client", "dim_temps"):
-        dims[name] = lake.hand_off(built[name], "gold", name)
-
-    keys = gold.KeyMaps(dims)
-    orders = lake.hand_off(gold.build_orders(source["fait_commandes"], keys), "gold", "fait_commandes")
-    facts = {
-        "fait_stock": gold.build_stock(source["fait_stock"], keys),
-        "fait_lignes_commandes": gold.build_order_lines(
-            source["fait_lignes_commandes"], keys, orders
-        ),
-        "fait_ventes": gold.build_sales(source["fait_ventes"], keys),
-        "fait_retours": gold.build_returns(source["fait_retours"], keys),
-    }
-    for name, fact in facts.items():
-        rows = gold.number_lines(fact, name) if line_keys else fact
-        day = gold.PARTITION_DATE.get(name)
-        if day:
-            rows = rows.withColumn("annee_mois", month_of_key(F.col(day)))
-        lake.write(rows, "gold", name, partition_by="annee_mois" if day else None)
-    return layer_match(source, lake.read_layer("gold"))
+    with lake.refresh("staging_gold", keep=1) as staging, staging.refresh("gold") as out:
+        source = lake.read_layer("silver")
+        known = {}
+        if keep_keys:
+            for table in contract.DIMENSIONS[:-1]:
+                known[table.name] = lake.read("gold", table.name).select(*table.key, gold.SURROGATE[table.name])
+        built = gold.build_dimensions(source, calendar, known, audit)
+        dims = {"dim_fournisseur": out.hand_off(built["dim_fournisseur"], "gold", "dim_fournisseur")}
+        products = gold.build_products(
+            source["dim_produit"], dims["dim_fournisseur"], known.get("dim_produit"), audit
+        )
+        dims["dim_produit"] = out.hand_off(products, "gold", "dim_produit")
+        for name in ("dim_magasin", "dim_client", "dim_temps"):
+            dims[name] = out.hand_off(built[name], "gold", name)
+
+        keys, days = gold.KeyMaps(dims), dims["dim_temps"]
+        orders = _store_fact(out, "fait_commandes", gold.build_orders(source["fait_commandes"], keys), days, line_keys)
+        lines = gold.build_order_lines(source["fait_lignes_commandes"], keys, orders, "left")
+        facts = {
+            "fait_stock": gold.build_stock(source["fait_stock"], keys),
+            "fait_lignes_commandes": lines,
+            "fait_ventes": gold.build_sales(source["fait_ventes"], keys),
+            "fait_retours": gold.build_returns(source["fait_retours"], keys),
+        }
+        for name, fact in facts.items():
+            _store_fact(out, name, fact, days, line_keys)
+    return layer_match(lake.counts("silver"), lake.counts("gold"))

@@ -1,15 +1,25 @@
-"""The layered table store: parquet directories ``<root>/<layer>/<table>``."""
+"""The layered table store: parquet directories ``<root>/<layer>[/<version>]/<table>``, and a ledger of what was written.
+
+A refresh writes a layer's next version beside the current one. One small file names the current version, so a job that dies
+on the way leaves readers with the whole old layer, and the switch is a single write.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import tempfile
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlake import contract
 
+LEDGER = "layer string, version string, table_name string, nb_lignes long, mode string, at long"
+CURRENT = "_current"
+
 
 def write_table(
     df: DataFrame,
@@ -17,16 +27,17 @@ def write_table(
     mode: str = "overwrite",
     partition_by: str | None = None,
     rows_per_file: int | None = None,
+    rebalance: bool = True,
 ) -> int:
     """Writes parquet and returns the row count, taken during the write itself.
 
     A partitioned write is first rebalanced on the partition column: AQE then joins small
     partitions and splits a partition that holds a large part of the rows, so neither many
-    tiny files nor one giant task results.
+    tiny files nor one giant task results. Without ``rebalance`` rows stay where they are.
     """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
+    if partition_by and rebalance:
         out = out.hint("rebalance", partition_by)
     # A full refresh also removes partitions that the new rows do not have.
     writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
@@ -38,54 +49,123 @@ def write_table(
     return int(seen.get["rows"])
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; a folder of our own only in local mode where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="bazaarlake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 @dataclass(frozen=True)
 class Lake:
+    """``writing`` names the versions of layers that are being written; other layers are read at their current version."""
+
     spark: SparkSession
     root: str
+    writing: dict[str, str] = field(default_factory=dict)
+
+    # --- versions -------------------------------------------------------------------
+
+    def _file(self, path: str):
+        file = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return file.getFileSystem(self.spark._jsc.hadoopConfiguration()), file
+
+    def version(self, layer: str) -> str | None:
+        """The version being written, else the current one; None for a layer without versions."""
+        if layer in self.writing:
+            return self.writing[layer]
+        system, file = self._file(f"{self.root}/{layer}/{CURRENT}")
+        if not system.exists(file):
+            return None
+        source = system.open(file)
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+
+    def _switch(self, layer: str, version: str) -> None:
+        system, file = self._file(f"{self.root}/{layer}/{CURRENT}")
+        sink = system.create(file, True)
+        sink.write(bytearray(version.encode()))
+        sink.close()
+
+    @contextmanager
+    def refresh(self, layer: str, keep: int | None = None) -> Iterator[Lake]:
+        """A lake that writes the layer's next version, which becomes current when the block ends without an error.
+
+        ``keep`` drops all but that many of the latest versions afterwards; without it all stay.
+        """
+        version = f"v{time.time_ns()}"
+        yield replace(self, writing={**self.writing, layer: version})
+        self._switch(layer, version)
+        if keep:
+            self.trim(layer, keep)
+
+    def versions(self, layer: str) -> list[str]:
+        """The layer's versions up to the current one, oldest first; later ones are being written by someone."""
+        system, file = self._file(f"{self.root}/{layer}")
+        names = sorted(s.getPath().getName() for s in system.listStatus(file) if s.getPath().getName().startswith("v"))
+        return [n for n in names if n <= (self.version(layer) or "")]
+
+    def trim(self, layer: str, keep: int = 1) -> None:
+        """Drops all but the latest ``keep`` versions."""
+        system, done = self._file(self.root)[0], self.versions(layer)
+        for name in done[: len(done) - keep]:
+            system.delete(self._file(f"{self.root}/{layer}/{name}")[1], True)
+
+    # --- tables ---------------------------------------------------------------------
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+        version = self.version(layer)
+        return f"{self.root}/{layer}/{version}/{table}" if version else f"{self.root}/{layer}/{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, table))
 
     def exists(self, layer: str, table: str) -> bool:
-        try:
-            self.read(layer, table)
-        except AnalysisException:
-            return False
-        return True
+        system, file = self._file(self.path(layer, table))
+        return bool(system.exists(file))
 
     def read_layer(self, layer: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
         return {t: self.read(layer, t) for t in tables or list(contract.TABLES)}
 
-    def write(self, df: DataFrame, layer: str, table: str, **options) -> int:
-        return write_table(df, self.path(layer, table), **options)
+    def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", **options) -> int:
+        rows = write_table(df, self.path(layer, table), mode=mode, **options)
+        self.record(layer, table, rows, mode)
+        return rows
 
     def hand_off(self, df: DataFrame, layer: str, table: str, **options) -> DataFrame:
         """Writes the table and returns it as read back: later steps start from files."""
         self.write(df, layer, table, **options)
         return self.read(layer, table)
 
-    def add_rejects(self, rejects: DataFrame, table: str, replace: bool = True) -> int:
-        """Adds reject records to the quarantine, one directory per source table.
+    def add_rejects(self, rejects: DataFrame, table: str, replace: bool = True, layer: str = "silver") -> int:
+        """Adds reject records to the layer's quarantine, one directory per source table.
 
         ``replace`` swaps that table's earlier rejects, so a rerun does not double them.
         """
         records = rejects.withColumn("rejected_at", F.current_timestamp()).drop("table_name")
-        path = f"{self.path('silver', contract.REJECTS)}/table_name={table}"
+        path = f"{self.path(layer, contract.REJECTS)}/table_name={table}"
         return write_table(records, path, mode="overwrite" if replace else "append")
 
-    def rejects(self) -> DataFrame:
-        return self.read("silver", contract.REJECTS)
+    def rejects(self, layer: str = "silver") -> DataFrame:
+        return self.read(layer, contract.REJECTS)
+
+    # --- ledger ---------------------------------------------------------------------
 
-    def publish(self, layer: str) -> None:
-        """Makes the layer's tables queryable as ``<layer>.<table>``."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-        for table in contract.TABLES:
-            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-            self.spark.catalog.createTable(f"{layer}.{table}", path=self.path(layer, table), source="parquet")
-            self.spark.catalog.recoverPartitions(f"{layer}.{table}") if self._partitioned(layer, table) else None
+    def record(self, layer: str, table: str, rows: int, mode: str = "overwrite") -> None:
+        """Notes a write. The counts come from the writes themselves, so no report has to read a table again."""
+        entry = [(layer, self.version(layer), table, rows, mode, time.time_ns())]
+        self.spark.createDataFrame(entry, LEDGER).coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
 
-    def _partitioned(self, layer: str, table: str) -> bool:
-        return bool([c for c in self.spark.catalog.listColumns(f"{layer}.{table}") if c.isPartition])
+    def counts(self, layer: str) -> DataFrame:
+        """(table_name, nb_lignes) of the layer's version, from the ledger: the last overwrite and the appends after it."""
+        entries = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
+        own = entries.where((F.col("layer") == layer) & F.col("version").eqNullSafe(F.lit(self.version(layer))))
+        start = F.max(F.when(F.col("mode") == "overwrite", F.col("at"))).over(Window.partitionBy("table_name"))
+        valid = own.withColumn("start", F.coalesce(start, F.lit(0))).where(F.col("at") >= F.col("start"))
+        return valid.groupBy("table_name").agg(F.sum("nb_lignes").alias("nb_lignes"))

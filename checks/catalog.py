@@ -20,13 +20,16 @@ from bazaarlake.operators import quality
 from bazaarlake.operators.dedup import duplicate_keys
 from bazaarlake.operators.joins import matched_rows, orphan_rows
 from bazaarlake.operators.keys import dense_keys, extend_keys
+from bazaarlake.operators.references import audit_links
 from bazaarlake.operators.sampling import fixed_size_sample
-from bazaarlake.plans import dashboard, gold, insights, reconcile, reports, source_model, views
+from bazaarlake.plans import dashboard, insights, reconcile, reports, source_model, views, warehouse
 from bazaarlake.session import apply_settings
-from bazaarlake.sources.events import route_by_type
+from bazaarlake.sources.events import event_stream, route_by_type, write_event_lines
 from bazaarlake.sources.files import volumes
 from bazaarlake.sources.sql import register_tables, register_views, run_query
-from bazaarlake.streaming.events import nest_sales, parse, return_events, return_rows, sale_rows
+from bazaarlake.streaming.events import judged, nest_sales, parse, return_events, return_rows, sale_rows
+from bazaarlake.streaming.jobs import start_event_ingest, wait
+from checks import faults, written
 from checks.landing import Retailer
 from checks.oracle import big, dbl, half_up, pct, query
 
@@ -112,16 +115,14 @@ check("gold_dim_client", columns_of(contract.CUSTOMERS, plus="client_sk:i"), "se
 )
 check("gold_dim_temps", columns_of(contract.CALENDAR), "select * from cal")(lambda r: r.gold["dim_temps"])
 
-_KEY = "cast(row_number() over (order by substr(md5(concat_ws('|', {0})), 1, 3), {0}) as bigint)"
 _DAY = "year({0}) * 10000 + month({0}) * 100 + day({0})"
 
 check(
     "gold_fait_stock",
-    "stock_sk:i; date_snapshot_sk:i; produit_sk:i; magasin_sk:i; quantite_en_stock:i; valeur_stock_ht:d; "
+    "date_snapshot_sk:i; produit_sk:i; magasin_sk:i; quantite_en_stock:i; valeur_stock_ht:d; "
     "seuil_reapprovisionnement:i; en_rupture:b",
-    f"select {_KEY.format('date_snapshot_sk, produit_sk, magasin_sk')} stock_sk, * from "
-    f"(select *, {_DAY.format('date_snapshot')} date_snapshot_sk from gold_stock) x",
-)(lambda r: gold.number_lines(r.gold["fait_stock"], "fait_stock"))
+    f"select *, {_DAY.format('date_snapshot')} date_snapshot_sk from gold_stock",
+)(lambda r: written.numbered(r, "fait_stock"))
 check(
     "gold_fait_commandes",
     "commande_sk:i; commande_nk:s; fournisseur_sk:i; magasin_sk:i; date_commande_sk:i; date_livraison_prev_sk:i; "
@@ -131,24 +132,32 @@ check(
 )(lambda r: r.gold["fait_commandes"])
 check(
     "gold_fait_lignes_commandes",
-    "ligne_commande_sk:i; commande_sk:i; produit_sk:i; quantite_commandee:i; prix_unitaire_achat:d; montant_ligne_ht:d",
-    f"select {_KEY.format('commande_sk, produit_sk')} ligne_commande_sk, * from "
-    "(select * from silver_lines join gold_orders using (commande_nk) join item using (produit_nk)) x",
-)(lambda r: gold.number_lines(r.gold["fait_lignes_commandes"], "fait_lignes_commandes"))
+    "commande_sk:i; produit_sk:i; quantite_commandee:i; prix_unitaire_achat:d; montant_ligne_ht:d",
+    "select * from silver_lines join gold_orders using (commande_nk) join item using (produit_nk)",
+)(lambda r: written.numbered(r, "fait_lignes_commandes"))
 check(
     "gold_fait_ventes",
-    "vente_sk:i; ticket_nk:s; timestamp_vente:t; date_sk:i; magasin_sk:i; client_sk:i; produit_sk:i; quantite:i; "
+    "ticket_nk:s; timestamp_vente:t; date_sk:i; magasin_sk:i; client_sk:i; produit_sk:i; quantite:i; "
     "prix_unitaire_ht:d; tva_pct:d; prix_unitaire_ttc:d; montant_ht:d; montant_ttc:d; marge_brute_unit:d; "
     "marge_brute_total:d",
-    f"select {_KEY.format('ticket_nk, produit_sk')} vente_sk, * from gold_sales",
-)(lambda r: gold.number_lines(r.gold["fait_ventes"], "fait_ventes"))
+    "select * from gold_sales",
+)(lambda r: written.numbered(r, "fait_ventes"))
 check(
     "gold_fait_retours",
-    "retour_sk:i; retour_nk:s; ticket_nk:s; produit_sk:i; magasin_sk:i; client_sk:i; date_vente_originale_sk:i; "
+    "retour_nk:s; ticket_nk:s; produit_sk:i; magasin_sk:i; client_sk:i; date_vente_originale_sk:i; "
     "date_retour_sk:i; quantite_retournee:i; montant_rembourse:d; motif:s",
-    f"select {_KEY.format('retour_nk')} retour_sk, *, {_DAY.format('date_vente_originale')} date_vente_originale_sk, "
+    f"select *, {_DAY.format('date_vente_originale')} date_vente_originale_sk, "
     f"{_DAY.format('date_retour')} date_retour_sk from gold_returns",
-)(lambda r: gold.number_lines(r.gold["fait_retours"], "fait_retours"))
+)(lambda r: written.numbered(r, "fait_retours"))
+_LINE_TABLES = {"fait_stock": "gold_stock", "fait_ventes": "gold_sales", "fait_retours": "gold_returns",
+                "fait_lignes_commandes": "(select * from silver_lines join gold_orders using (commande_nk) join item using (produit_nk))"}
+check(
+    "line_keys",
+    "table_name:s; nb_lignes:i; sk_min:i; sk_max:i; nb_sk:i",
+    " union all ".join(
+        f"select '{t}' table_name, count(*) nb_lignes, 1 sk_min, count(*) sk_max, count(*) nb_sk from {rows} q" for t, rows in _LINE_TABLES.items()
+    ),
+)(lambda r: written.key_facts(written.built(r)))
 
 # --- landing, casts, quality ----------------------------------------------------------------
 
@@ -275,20 +284,15 @@ def _(r):
 
 @check(
     "fk_audit",
-    "table_name:s; cle:s; nb_cles_orphelines:i; nb_lignes_orphelines:i",
-    """select 'fait_ventes' table_name, 'client_nk' cle, count(distinct client_nk) nb_cles_orphelines, count(*) nb_lignes_orphelines
-    from landed_sales where client_nk = 'CLI-GHOST'
-    union all select 'fait_ventes', 'produit_nk', count(distinct produit_nk), count(*)
-    from landed_sales where produit_nk not in (select cast(p_partkey as varchar) from part)""",
+    "enfant:s; cle:s; parent:s; nb_cles_orphelines:i; nb_lignes_orphelines:i; nb_lignes_sans_cle:i",
+    faults.links_sql(),
 )
 def _(r):
-    sales = r.bronze["fait_ventes"]
-    return quality.reference_audit(
-        [
-            ("fait_ventes", sales, "client_nk", r.bronze["dim_client"], "client_nk"),
-            ("fait_ventes", sales, "produit_nk", r.bronze["dim_produit"], "produit_nk"),
-        ]
-    )
+    """Every declared reference of silver and gold, over rows with faults in six silver and six gold ones."""
+    return audit_links(faults.linked_tables(r), faults.SILVER_LINKS + faults.GOLD_LINKS)
+
+
+check("verdicts", "table_name:s; rule_id:s; nb_lignes:i", faults.rejects_sql())(faults.verdicts)
 
 
 @check(
@@ -499,15 +503,9 @@ def _(r):
       on k.date_snapshot = c.m and k.magasin_nk = s.magasin_nk""",
 )
 def _(r):
-    """Every product in every store and month, filled with the stock that exists."""
-    spine = cal.stock_spine(r.cleaned["dim_produit"].valid, r.cleaned["dim_magasin"].valid, r.day_bounds())
-    keys = ["date_snapshot", "produit_nk", "magasin_nk"]
-    filled = spine.join(r.silver["fait_stock"].select(*keys, "quantite_en_stock"), keys, "left")
-    return filled.groupBy("date_snapshot", "magasin_nk").agg(
-        F.count(F.lit(1)).alias("nb_produits"),
-        F.count_if(F.col("quantite_en_stock").isNull()).alias("nb_sans_stock"),
-        F.coalesce(F.sum("quantite_en_stock"), F.lit(0)).alias("quantite"),
-    )
+    """Every product in every store and month, counted by whether there is stock."""
+    products, stores = r.cleaned["dim_produit"].valid, r.cleaned["dim_magasin"].valid
+    return cal.stock_coverage(r.silver["fait_stock"], products, stores, r.day_bounds())
 
 
 @check(
@@ -859,7 +857,9 @@ check(
 
 # --- reconciliation ------------------------------------------------------------------------------------------------
 
+# Landed and silver rows of the tables; gold's calendar has a range of its own.
 _PAIRS = {
+    "dim_temps": ("cal_fr", "cal_fr"),
     "dim_magasin": ("store", "store"),
     "dim_fournisseur": ("vendor", "vendor"),
     "dim_produit": ("item", "item"),
@@ -872,10 +872,10 @@ _PAIRS = {
 }
 
 
-def _pair_sql(left: bool, right: str, a: str, b: str) -> str:
+def _pair_sql(left: bool, a: str, b: str, skip: str = "") -> str:
     rows = " union all ".join(
-        f"select '{t}' table_name, (select count(*) from {p[0] if left else p[1]} q) {a}, (select count(*) from {right or p[1]} q) {b}"
-        for t, p in _PAIRS.items()
+        f"select '{t}' table_name, (select count(*) from {p[0] if left else p[1]} q) {a}, (select count(*) from {p[1]} q) {b}"
+        for t, p in _PAIRS.items() if t != skip
     )
     return f"select coalesce(table_name, 'TOTAL') table_name, sum({a}) {a}, sum({b}) {b} from ({rows}) group by rollup (table_name)"
 
@@ -883,23 +883,83 @@ def _pair_sql(left: bool, right: str, a: str, b: str) -> str:
 check(
     "recon_silver",
     "table_name:s; nb_bronze:i; nb_silver:i; nb_ecartes:i",
-    f"select *, nb_bronze - nb_silver nb_ecartes from ({_pair_sql(True, '', 'nb_bronze', 'nb_silver')}) x",
-)(
-    lambda r: reconcile.layer_diff(
-        {t: r.bronze[t] for t in _PAIRS}, {t: r.silver[t] for t in _PAIRS}
-    )
-)
+    f"select *, nb_bronze - nb_silver nb_ecartes from ({_pair_sql(True, 'nb_bronze', 'nb_silver')}) x",
+)(lambda r: reconcile.layer_diff(written.built(r).counts("bronze"), written.built(r).counts("silver")))
 check(
     "recon_gold",
     "table_name:s; nb_silver:i; nb_gold:i; statut:s",
     f"""select *, case when nb_silver = nb_gold then 'MATCH' else 'MISMATCH' end statut
-    from ({_pair_sql(False, '', 'nb_silver', 'nb_gold')}) x""",
-)(lambda r: reconcile.layer_match({t: r.silver[t] for t in _PAIRS}, {t: r.gold[t] for t in _PAIRS}))
+    from ({_pair_sql(False, 'nb_silver', 'nb_gold', 'dim_temps')}) x""",
+)(lambda r: reconcile.layer_match(written.built(r).counts("silver"), written.built(r).counts("gold")))
 check(
     "volumes",
     "table_name:s; nb_lignes:i",
     " union all ".join(f"select '{t}' table_name, count(*) nb_lignes from {p[0]} q" for t, p in _PAIRS.items()),
-)(lambda r: volumes({t: r.bronze[t] for t in _PAIRS}))
+)(lambda r: written.built(r).counts("bronze"))
+
+
+@check(
+    "calendar_fit",
+    "cote:s; nb_lignes:i; premier:t; dernier:t",
+    """select case when cast(ticket_nk as bigint) % 100 = 41 then 'quarantaine' else 'garde' end cote, count(*) nb_lignes,
+      min(case when cast(ticket_nk as bigint) % 100 = 41 then cast('1895-06-01' as date) else date_vente end) premier,
+      max(case when cast(ticket_nk as bigint) % 100 = 41 then cast('1895-06-01' as date) else date_vente end) dernier
+    from silver_sales group by 1""",
+)
+def _(r):
+    """Gold without a given calendar, where a part of the sales lies in 1895: each is kept or in quarantine."""
+    lake = written.silver_copy(r, fait_ventes=lambda sales: sales.withColumn(
+        "date_vente", F.when(F.expr("cast(ticket_nk as bigint) % 100 = 41"), F.lit("1895-06-01").cast("date")).otherwise(F.col("date_vente"))
+    ))
+    warehouse.run_gold(lake, audit=False)
+    days = lake.read("gold", "dim_temps").select(F.col("temps_sk").alias("date_sk"), "date_complete")
+    kept = lake.read("gold", "fait_ventes").join(days, "date_sk").select(F.lit("garde").alias("cote"), "date_complete")
+    outside = lake.rejects("gold").where(F.col("reason") == contract.OUTSIDE_CALENDAR).where("table_name = 'fait_ventes'")
+    day = F.to_date(F.get_json_object("record_data", "$.date_sk"), "yyyyMMdd").alias("date_complete")
+    both = kept.unionByName(outside.select(F.lit("quarantaine").alias("cote"), day))
+    return both.groupBy("cote").agg(
+        F.count("*").alias("nb_lignes"), F.min("date_complete").alias("premier"), F.max("date_complete").alias("dernier")
+    )
+
+
+@check(
+    "gold_rerun",
+    "annee_mois:i; nb_lignes:i; montant_ttc:d; versions:i",
+    f"""select cast(year(date_vente) * 100 + month(date_vente) as bigint) annee_mois, count(*) nb_lignes, {dbl('sum(montant_ttc)')} montant_ttc,
+      2 versions from silver_sales where not (year(date_vente) = 1997 and month(date_vente) = 3) group by 1""",
+)
+def _(r):
+    """Gold refreshed after a month has gone from silver: the month is gone from gold, and the version before is still there."""
+    lake = written.silver_copy(r)
+    warehouse.run_gold(lake, audit=False)
+    sales = lake.read("silver", "fait_ventes")
+    with lake.refresh("silver") as out:
+        for name in contract.TABLES:
+            rows = sales.where("date_format(date_vente, 'yyyyMM') <> '199703'") if name == "fait_ventes" else lake.read("silver", name)
+            out.write(rows, "silver", name)
+    warehouse.run_gold(lake, audit=False, keep_keys=True)
+    months = lake.read("gold", "fait_ventes").groupBy("annee_mois").agg(
+        F.count("*").alias("nb_lignes"), F.sum("montant_ttc").alias("montant_ttc")
+    )
+    return months.withColumn("versions", F.lit(len(lake.versions("gold"))))
+
+
+@check(
+    "stream_to_silver",
+    "ticket_nk:s; produit_nk:s; magasin_nk:s; client_nk:s; date_vente:t; timestamp_vente:t; quantite:i; prix_unitaire_ttc:d; montant_ttc:d",
+    "select * from silver_sales",
+)
+def _(r):
+    """Even tickets land as files, odd ones as an event stream; silver is run over both."""
+    sales, odd = r.silver["fait_ventes"], F.expr("cast(ticket_nk as bigint) % 2 = 1")
+    lake = written.landed(r, fait_ventes=r.bronze["fait_ventes"].where(~odd))
+    write_event_lines(nest_sales(sales.where(odd)), f"{lake.root}/events/ventes")
+    write_event_lines(return_events(r.silver["fait_retours"].where("false")), f"{lake.root}/events/retours")
+    streams = [event_stream(r.spark, "text", f"{lake.root}/events/{t}") for t in ("ventes", "retours")]
+    queries = start_event_ingest(*streams, f"{lake.root}/bronze", f"{lake.root}/checkpoints", interval=None)
+    wait(r.spark, queries, 600)
+    warehouse.run_silver(lake, audit=False)
+    return lake.read("silver", "fait_ventes")
 
 # --- events -----------------------------------------------------------------------------------------------------------
 
@@ -933,10 +993,34 @@ def _(r):
     return routed.groupBy("event_type").agg(F.count("*").alias("nb_evenements"), F.sum("amount").alias("total"))
 
 
+@check(
+    "events_total",
+    "sort:s; nb_evenements:i; nb_lignes:i",
+    """select case cast(ticket_nk as bigint) % 10 when 1 then 'type inconnu' when 2 then 'type inconnu' when 3 then 'evenement sans ligne'
+        when 4 then 'json illisible' else 'VENTE' end sort, count(distinct ticket_nk) nb_evenements,
+      sum(case when cast(ticket_nk as bigint) % 10 between 1 and 4 then 0 else 1 end) nb_lignes
+    from silver_sales group by 1
+    union all select 'RETOUR', count(*), count(*) from silver_returns""",
+)
+def _(r):
+    """A mixed topic with events without a type, of a foreign type, without lines, and cut off: each is a row's source or a dead letter."""
+    value, ticket = F.col("value"), F.get_json_object("value", "$.ticket_nk").cast("long") % 10
+    sales = nest_sales(r.silver["fait_ventes"]).select(
+        F.when(ticket == 1, F.regexp_replace(value, '"event_type":"VENTE",', ""))
+        .when(ticket == 2, F.regexp_replace(value, '"event_type":"VENTE"', '"event_type":"PROMO"'))
+        .when(ticket == 3, F.regexp_replace(value, r'"lignes":\[.*\]', '"lignes":[]'))
+        .when(ticket == 4, F.substring(value, 1, 40))
+        .otherwise(value).alias("value")
+    )
+    parsed = judged(sales.unionByName(return_events(r.silver["fait_retours"])))
+    lines = F.when(F.col("kind") == contract.EVENT_SALE, F.size("lignes")).when(F.col("kind") == contract.EVENT_RETURN, 1).otherwise(0)
+    return parsed.groupBy(F.coalesce("kind", "reason").alias("sort")).agg(F.count("*").alias("nb_evenements"), F.sum(lines).alias("nb_lignes"))
+
+
 @check(
     "events_nested",
     "ticket_nk:s; nb_evenements:i; nb_lignes:i; total:d",
-    """select ticket_nk, count(distinct magasin_nk) nb_evenements, count(*) nb_lignes, sum(montant_ttc) total
+    """select ticket_nk, 1 nb_evenements, count(*) nb_lignes, sum(montant_ttc) total
     from silver_sales group by 1""",
 )
 def _(r):
@@ -952,11 +1036,13 @@ def _(r):
 
 @check(
     "events_roundtrip",
-    "ticket_nk:s; magasin_nk:s; client_nk:s; produit_nk:s; quantite:i; prix_unitaire_ttc:d; montant_ttc:d; prix_unitaire_ht:d",
+    "ticket_nk:s; timestamp_vente:t; magasin_nk:s; client_nk:s; produit_nk:s; quantite:i; prix_unitaire_ttc:d; montant_ttc:d; "
+    "prix_unitaire_ht:d",
     """select * exclude (prix_unitaire_ht), cast(null as double) prix_unitaire_ht from silver_sales""",
 )
 def _(r):
-    return sale_rows(nest_sales(r.silver["fait_ventes"]))
+    rows = sale_rows(nest_sales(r.silver["fait_ventes"]))
+    return rows.withColumn("timestamp_vente", casts.to_moment(F.col("timestamp_vente")))
 
 
 @check(

@@ -111,16 +111,17 @@ CTES: dict[str, str] = {
       select *, row_number() over (partition by ticket_nk, produit_nk order by {_CLASH}) rn
       from judged_sales where rule_id is null)
     where rn = 1""",
+    "landed_returns": """
+    select concat_ws('-', k, p, ln) retour_nk, cast(k as varchar) ticket_nk, cast(p as varchar) produit_nk,
+      cast(nat as varchar) magasin_nk, cast(cust as varchar) client_nk, dt date_vente_originale,
+      dt + cast(ln + 1 as integer) date_retour, q quantite_retournee, cast(gross as decimal(12,2)) montant_rembourse,
+      prio motif
+    from priced where rf = 'R'""",
     "silver_returns": """
     select * exclude (rn) from (
       select *, row_number() over (partition by retour_nk order by ticket_nk, produit_nk, magasin_nk, client_nk,
         date_vente_originale, date_retour, quantite_retournee, montant_rembourse, motif) rn
-      from (
-        select concat_ws('-', k, p, ln) retour_nk, cast(k as varchar) ticket_nk, cast(p as varchar) produit_nk,
-          cast(nat as varchar) magasin_nk, cast(cust as varchar) client_nk, dt date_vente_originale,
-          dt + cast(ln + 1 as integer) date_retour, q quantite_retournee, cast(gross as decimal(12,2)) montant_rembourse,
-          prio motif
-        from priced where rf = 'R'))
+      from landed_returns)
     where rn = 1""",
     "landed_lines": """
     select cast(l_orderkey as varchar) commande_nk, cast(l_partkey as varchar) produit_nk,

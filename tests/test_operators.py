@@ -5,8 +5,10 @@ from bazaarlake import contract
 from bazaarlake.operators import calendar as cal
 from bazaarlake.operators import quality
 from bazaarlake.operators.dedup import duplicate_keys, keep_first
+from bazaarlake.operators.distinct import distinct_counts
 from bazaarlake.operators.joins import Lookup, flag_orphans, with_default
-from bazaarlake.operators.keys import dense_keys, extend_keys
+from bazaarlake.operators.keys import dense_keys, extend_keys, number_written
+from bazaarlake.operators.references import Link, audit_links
 from bazaarlake.operators.ranking import highest, lowest, top_n
 from bazaarlake.operators.sampling import fixed_size_sample
 from bazaarlake.plans import source_model
@@ -70,7 +72,7 @@ def test_audits(spark):
     parent = spark.createDataFrame([("a",)], "pk string")
     audit = quality.key_audit({"t": df}, {"t": ["k"]})
     assert rows(audit, "nb_lignes", "nb_cles", "nb_surplus") == [(4, 3, 1)]
-    audit = quality.reference_audit([("t", df, "fk", parent, "pk")])
+    audit = audit_links({"t": df, "p": parent}, [Link("t", "fk", "p", "pk", optional=True)])
     assert rows(audit, "nb_cles_orphelines", "nb_lignes_orphelines") == [(1, 1)]
     assert rows(duplicate_keys(df, ["k"]), "k", "nb_lignes") == [(1, 2)]
 
@@ -195,15 +197,71 @@ def test_source_calendar_has_holidays(spark):
     assert dict(zip(days.columns, days.dtypes)).keys() == set(contract.CALENDAR.names)
 
 
-def test_spines(spark, monkeypatch):
+def test_spines(spark):
     bounds = cal.date_bounds(spark, "2024-01-15", "2024-03-01")
     assert [str(r[0]) for r in cal.month_starts(bounds).collect()] == ["2024-01-01", "2024-02-01", "2024-03-01"]
     products = spark.createDataFrame([("p1",), ("p2",)], "produit_nk string")
     stores = spark.createDataFrame([(f"s{i}",) for i in range(5)], "magasin_nk string")
-    spine = cal.stock_spine(products, stores, bounds)
-    assert spine.distinct().count() == spine.count() == 30
-    monkeypatch.setattr(cal, "STORES_PER_BLOCK", 2)
-    assert rows(cal.stock_spine(products, stores, bounds), *spine.columns) == rows(spine, *spine.columns)
+    stock = spark.createDataFrame(
+        [("2024-02-01", "p1", "s3", 4), ("2024-02-01", "p2", "s3", 6), ("2024-03-01", "p1", "s0", None)],
+        "date_snapshot string, produit_nk string, magasin_nk string, quantite_en_stock int",
+    ).withColumn("date_snapshot", F.to_date("date_snapshot"))
+    got = cal.stock_coverage(stock, products, stores, bounds)
+    filled = {(str(r[0]), r[1]): tuple(r[2:]) for r in got.collect()}
+    assert len(filled) == 15 and filled.pop(("2024-02-01", "s3")) == (2, 0, 10) and set(filled.values()) == {(2, 2, 0)}
+
+
+def test_calendar_fits_the_facts(spark):
+    days = spark.createDataFrame([("1995-03-04", "1996-01-01"), ("0001-01-01", None), ("2999-12-31", "1995-01-01")], "a string, b string")
+    typed = days.select(F.to_date("a").alias("a"), F.to_date("b").alias("b"))
+    bounds = cal.fitted_bounds({"x": (typed, ["a"]), "y": (typed, ["a", "b"])}, "1970-01-01", "2069-12-31")
+    assert [str(v) for v in bounds.first()] == ["1995-01-01", "1996-12-31"]
+    empty = cal.fitted_bounds({"x": (typed.where("false"), ["a"])}, "1970-01-01", "2069-12-31")
+    assert cal.calendar(empty).count() == 0
+
+
+# --- references, distinct counts, line keys -----------------------------------------------------------
+
+
+def test_all_links_in_one_audit(spark):
+    child = spark.createDataFrame([("a", "x"), ("b", None), ("b", "y"), (None, "y"), ("a", "x")], "k string, o string")
+    other = spark.createDataFrame([("c",), ("x",)], "k string")
+    parent = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")
+    links = [
+        Link("s.child", "k", "s.parent", "k"), Link("s.child", "o", "s.other", "k", optional=True), Link("s.other", "k", "s.parent", "k"),
+        Link("s.child", "o", "s.parent", "k"),
+    ]
+    got = audit_links({"s.child": child, "s.other": other, "s.parent": parent}, links)
+    assert rows(got, *got.columns) == sorted([
+        ("s.child", "k", "s.parent", 1, 2, 1), ("s.child", "o", "s.other", 1, 2, 0), ("s.other", "k", "s.parent", 2, 2, 0),
+        ("s.child", "o", "s.parent", 2, 4, 1),
+    ])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(target") == 2  # by key, and the handful of sums
+
+
+def test_distinct_counts_by_bitmap(spark):
+    df = spark.range(50_000).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") * 7 + 1).alias("a"), (F.col("id") % 3 + 1).alias("b"), F.lit(2).alias("v")
+    )
+    counted = distinct_counts(df, {"na": "a", "nb": "b"}, {"n": F.lit(1), "v": F.col("v")})
+    assert counted.first().asDict() == {"n": 50_000, "v": 100_000, "na": 40_000, "nb": 3}
+    assert "Expand" not in counted._jdf.queryExecution().executedPlan().toString()
+    none = distinct_counts(df.where("id < 0"), {"na": "a"}, {"v": F.col("v")}).first()
+    assert (none.v, none.na) == (None, 0)
+
+
+def test_rows_are_numbered_where_they_lie(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 10_000, 1, 7).select("id", (F.col("id") % 4 == 0).alias("rejected"))
+    df.write.partitionBy("rejected").parquet(path)
+    kept = number_written(spark, path, df.schema, "sk", where="NOT rejected")
+    assert kept.agg(F.min("sk"), F.max("sk"), F.count_distinct("sk"), F.count("id")).first()[:] == (1, 7500, 7500, 7500)
+    again = number_written(spark, path, df.schema, "sk", where="NOT rejected")
+    assert kept.exceptAll(again).count() == 0
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan
+    assert number_written(spark, path, df.schema, "sk", where="id < 0 AND rejected").count() == 0
 
 
 # --- source model ----------------------------------------------------------------------------------------

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import contract
 from bazaarlake.operators import calendar as cal
-from bazaarlake.plans import dashboard, views, warehouse
+from bazaarlake.plans import dashboard, gold, views, warehouse
 from bazaarlake.sources import files, jdbc
 from bazaarlake.sources.sql import register_views, run_query
 from bazaarlake.sources.tables import Lake, write_table
@@ -111,6 +111,50 @@ def test_rerun_replaces_and_keeps_keys(built):
     assert "5" not in after and all(before[k] == v for k, v in after.items())
 
 
+def test_a_dying_refresh_leaves_the_old_layer(built, monkeypatch):
+    lake = built[0]
+    before, version = sorted(map(tuple, lake.read("gold", "fait_ventes").collect()), key=repr), lake.version("gold")
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(gold, "build_returns", die)
+    with pytest.raises(RuntimeError, match="lost"):
+        warehouse.run_gold(lake)
+    assert lake.version("gold") == version
+    assert sorted(map(tuple, lake.read("gold", "fait_ventes").collect()), key=repr) == before
+
+
+def test_versions_and_ledger(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.write(spark.range(5), "bronze", "t", mode="append")
+    lake.write(spark.range(3), "bronze", "t", mode="append")
+    assert as_dict(lake.counts("bronze"), "table_name", "nb_lignes") == {"t": 8}
+    lake.write(spark.range(2), "bronze", "t")
+    assert as_dict(lake.counts("bronze"), "table_name", "nb_lignes") == {"t": 2} and lake.version("bronze") is None
+    for n in (4, 6, 7):
+        with lake.refresh("gold", keep=2) as out:
+            out.write(spark.range(n), "gold", "t")
+            assert out.read("gold", "t").count() == n
+    assert lake.read("gold", "t").count() == 7 and len(lake.versions("gold")) == 2
+    assert as_dict(lake.counts("gold"), "table_name", "nb_lignes") == {"t": 7}
+
+
+def test_gold_keeps_or_quarantines_every_sale(built):
+    """The published calendar begins after all sales of the given tables."""
+    lake = built[0]
+    days = cal.warehouse_calendar(lake.spark)
+    warehouse.run_gold(lake, calendar=days, audit=False)
+    assert lake.read("gold", "fait_ventes").count() == 0
+    rejects = as_dict(lake.rejects("gold").groupBy("table_name").count(), "table_name", "count")
+    silver = as_dict(lake.counts("silver"), "table_name", "nb_lignes")
+    assert all(rejects[t] == silver[t] for t in ("fait_ventes", "fait_retours", "fait_stock", "fait_commandes", "fait_lignes_commandes"))
+    reasons = {r[0] for r in lake.rejects("gold").where("table_name = 'fait_lignes_commandes'").select("reason").distinct().collect()}
+    assert reasons == {contract.ORDER_IN_QUARANTINE}
+    report = as_dict(warehouse.run_gold(lake, audit=False), "table_name", "statut")
+    assert set(report.values()) == {"MATCH"} and lake.rejects("gold").count() == 0
+
+
 def test_refresh_drops_months_that_are_gone(spark, tmp_path):
     path = str(tmp_path / "months")
     two = spark.createDataFrame([(1, 202401), (2, 202402)], "v int, annee_mois int")
