@@ -56,11 +56,21 @@ def shared_folder(spark: SparkSession) -> str:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once into the shared folder and reads it back: lineage ends there, and a lost executor costs nothing.
 
-    The folder belongs to the job; the cluster's retention of ``spark.checkpoint.dir`` clears it.
+    The folder belongs to the job; ``release`` drops it, or the cluster's retention of ``spark.checkpoint.dir`` does.
     """
     path = f"{shared_folder(df.sparkSession)}/bazaarlake-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored = path
+    return out
+
+
+def release(*stored: DataFrame) -> None:
+    """Drops the files of stored tables that all later steps have consumed and stored themselves."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -22,6 +22,8 @@ their own component. An empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.bloom import bits_for, build, holds, positions
-from bazaarlake.llm.common import store
+from bazaarlake.llm.common import release, store
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # 0.8
@@ -125,12 +127,16 @@ def frequency_classes(sets: DataFrame, slots: int = SLOTS) -> np.ndarray:
             part = counts[k : k + chunk]
             at = np.flatnonzero(part)
             if len(at):
-                yield _batch({"chunk": ([k], pa.int64()), "at": ([at.astype("<u2").tobytes()], pa.binary()), "n": ([part[at].astype("<u4").tobytes()], pa.binary())})
+                steps = np.diff(at, prepend=0).astype("<u2").tobytes()
+                yield _batch({
+                    "chunk": ([k], pa.int64()), "at": ([zlib.compress(steps, 1)], pa.binary()),
+                    "n": ([zlib.compress(part[at].astype("<u4").tobytes(), 1)], pa.binary()),
+                })
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(chunk, np.int64)
         for at, n in zip(parts["at"], parts["n"]):
-            total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u4")
+            total[np.cumsum(np.frombuffer(zlib.decompress(at), "<u2").astype(np.int64))] += np.frombuffer(zlib.decompress(n), "<u4")
         return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "level": [np.log2(total + 1).astype(np.uint8).tobytes()]})
 
     parts = sets.where("n > 0").select("tokens").mapInArrow(count, "chunk long, at binary, n binary")
@@ -256,7 +262,7 @@ def _overlap(first: pd.Series, second: pd.Series) -> pd.Series:
 
 
 def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """a, b, a_sig, b_sig, common, joint (sizes of intersection and union) of each pair of nodes.
+    """a, b, a_sig, b_sig, common, joint (sizes of intersection and union) of each of the stored ``pairs`` of nodes, which it releases.
 
     The sets of ``b`` come in partitions of the first join. Those of ``a``, few where they are leaders, are stored, so that
     Spark can split the pairs of a hot leader in the second.
@@ -268,7 +274,10 @@ def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     both = pairs.join(two, "b").join(one, "a")
     common = F.pandas_udf(_overlap, "long")("a_tokens", "b_tokens")
     out = both.select("a", "b", "a_sig", "b_sig", "a_n", "b_n", common.alias("common"))
-    return out.select("a", "b", "a_sig", "b_sig", "common", (F.col("a_n") + F.col("b_n") - F.col("common")).alias("joint"))
+    out = out.select("a", "b", "a_sig", "b_sig", "common", (F.col("a_n") + F.col("b_n") - F.col("common")).alias("joint"))
+    done = store(out, "verified")
+    release(firsts, pairs)
+    return done
 
 
 def _linked():
@@ -288,9 +297,10 @@ def labelled(links: DataFrame) -> DataFrame:
         jump = best.select(F.col("node").alias("to"), F.col("best").alias("next"))
         after = best.join(jump, best["best"] == jump["to"]).select("node", F.least("best", "next").alias("label"), F.col("label").alias("old"))
         after = store(after, "labels")
-        moved = after.where("label <> old").limit(1).count()
-        labels = after.select("node", "label")
-        if not moved:
+        release(labels)
+        labels = after
+        if not after.where("label <> old").limit(1).count():
+            release(edges)
             return labels
 
 
@@ -301,55 +311,60 @@ def _can_link(room: str, n: str, other_room: str, other_n: str):
     return least * (NUMERATOR + DENOMINATOR) >= (F.col(n) + F.col(other_n)) * NUMERATOR
 
 
-def _live(rows: DataFrame) -> DataFrame:
-    """The postings of keys whose sets are not all of one part, with the number of sets and the most central one."""
+def _live(rows: DataFrame, *spent: DataFrame) -> DataFrame:
+    """The postings of keys whose sets are not all of one part, with the number of sets and the most central one; releases what it is made of."""
     groups = rows.groupBy("key").agg(
         F.count("*").alias("many"), F.min("part").alias("low"), F.max("part").alias("high"),
         F.max(F.struct("central", "node", "n", "room", "part")).alias("lead"),
     )
-    return store(rows.join(groups.where(F.col("low") != F.col("high")).select("key", "many", "lead"), "key"), "live")
+    live = store(rows.join(groups.where(F.col("low") != F.col("high")).select("key", "many", "lead"), "key"), "live")
+    release(*spent)
+    return live
 
 
-def _after_leaders(live: DataFrame, found: list[DataFrame], shared: str) -> DataFrame:
-    """The postings after a round: sets that links so far join are of one part, and all sets of a key with a leader have what
+def _after_leaders(live: DataFrame, found: list[DataFrame], shared: str) -> tuple[DataFrame, DataFrame]:
+    """The postings after a round, and the stored labels that they are made of: sets that links so far join are of one part, and all sets of a key with a leader have what
     they share with it in the column ``shared``."""
     linked = found[0].where(_linked()).select("a", "b")
     for more in found[1:]:
         linked = linked.union(more.where(_linked()).select("a", "b"))
-    parts = labelled(linked).select(F.col("node").alias("_node"), "label")
+    labels = labelled(linked)
+    parts = labels.select(F.col("node").alias("_node"), "label")
     met = found[-1].select(F.col("a").alias("_lead"), F.col("b").alias("_b"), F.col("common").alias(shared))
     led = F.col("many") > LISTED
     rest = live.where(~led | (F.col("node") != F.col("lead.node"))).withColumn("_by", F.when(led, F.col("lead.node")))
     rest = rest.join(parts, F.col("node") == F.col("_node"), "left").withColumn("part", F.coalesce("label", "node"))
     rest = rest.join(met, (F.col("_by") == F.col("_lead")) & (F.col("node") == F.col("_b")), "left")
-    return rest.drop("many", "lead", "_by", "_node", "label", "_lead", "_b")
+    return rest.drop("many", "lead", "_by", "_node", "label", "_lead", "_b"), labels
 
 
 def _close(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose parity bits do not rule a link out: linked sets differ in at most a ninth of their sizes' sum."""
+    """Those of the stored pairs, which it releases, whose parity bits do not rule a link out: linked sets differ in at most a ninth of their sizes' sum."""
     known = sets.where("n >= 4").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
     known = store(known, "bits")
     one, two = (known.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("bits").alias(f"{k}_bits")) for k in ("a", "b"))
     places = sum(F.bit_count(F.col("a_bits")[k].bitwiseXOR(F.col("b_bits")[k])) for k in range(WORDS))
     both = pairs.join(one, "a").join(two, "b")
-    return both.where(places * (NUMERATOR + DENOMINATOR) <= F.col("a_n") + F.col("b_n")).select("a", "b")
+    near = store(both.where(places * (NUMERATOR + DENOMINATOR) <= F.col("a_n") + F.col("b_n")).select("a", "b"), "pairs")
+    release(known, pairs)
+    return near
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """a_sig, b_sig: links whose components are those of all links of the join."""
+    """a, b (digests of sets), stored: links whose components are those of all links of the join."""
     small = sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_LIGHT)).groupBy("n").agg(F.count("*").alias("c"))
     keys = Keys(frequency_classes(sets), light_boundary({r["n"]: r["c"] for r in small.collect()}))
     rows = store(postings(sets, keys), "postings")
-    live = _live(rows.withColumn("part", F.col("node")))
+    live = _live(rows.withColumn("part", F.col("node")), rows)
     found = []
     rounds = [f"shared_{k}" for k in range(LEADER_ROUNDS)]
     for shared in rounds:
         # All sets of the key meet its leader, also those that cannot link to it: what they share with it is used below.
         led = live.where((F.col("many") > LISTED) & (F.col("node") != F.col("lead.node")))
         pairs = led.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-        checked = store(verified(sets, store(pairs, "pairs")), "verified")
-        found.append(checked)
-        live = _live(_after_leaders(live, found, shared))
+        found.append(verified(sets, store(pairs, "pairs")))
+        rest, labels = _after_leaders(live, found, shared)
+        live = _live(rest, live, labels)
     other = live.select("key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "room", "part", *rounds)])
     enough = F.lit(True)
     for own in rounds:
@@ -362,22 +377,28 @@ def links(sets: DataFrame) -> DataFrame:
         (F.col("node") < F.col("b_node")) & (F.col("part") != F.col("b_part")) & _can_link("room", "n", "b_room", "b_n") & enough
     )
     pairs = listed.select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
-    found.append(verified(sets, store(_close(sets, store(pairs, "open-pairs")), "pairs")))
+    open_pairs = store(pairs, "open-pairs")
+    release(live)
+    found.append(verified(sets, _close(sets, open_pairs)))
     linked = [f.where(_linked()).select("a_sig", "b_sig") for f in found]
     out = linked[0]
     for more in linked[1:]:
         out = out.union(more)
-    return out.distinct()
+    links = store(out.distinct().select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")), "links")
+    release(*found)
+    return links
 
 
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     sets = store(sets_of(docs), "sets")
-    found = store(links(sets).select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")), "links")
-    label = labelled(found).select(F.col("node").alias("sig"), "label")
+    found = links(sets)
+    labels = labelled(found)
+    label = labels.select(F.col("node").alias("sig"), "label")
     firsts = sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"))
     grouped = firsts.join(label, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     grouped = store(grouped, "grouped")
+    release(found, labels)
     smallest = grouped.groupBy("label").agg(F.min("first").alias("component"))
     named = grouped.join(smallest, "label").select("sig", "component")
     out = sets.select("doc_id", "n", "sig").join(named, "sig", "left")
