@@ -6,6 +6,7 @@ on the way leaves readers with the whole old layer, and the switch is a single w
 
 from __future__ import annotations
 
+import json
 import tempfile
 import time
 from collections.abc import Iterator
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from bazaarlake import contract
 
 LEDGER = "layer string, version string, table_name string, nb_lignes long, mode string, at long"
+REJECT_ROWS = "record_data string, reason string, rule_id string, rejected_at timestamp, table_name string"
 CURRENT = "_current"
 
 
@@ -46,7 +48,11 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return int(seen.get["rows"])
+    rows = int(seen.get["rows"])
+    if partition_by and not rows and mode == "overwrite":
+        # A partitioned write of no rows leaves no file; one without partitions keeps the columns readable.
+        out.write.mode(mode).parquet(path)
+    return rows
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -87,10 +93,10 @@ class Lake:
         finally:
             source.close()
 
-    def _switch(self, layer: str, version: str) -> None:
-        system, file = self._file(f"{self.root}/{layer}/{CURRENT}")
+    def _put(self, path: str, text: str) -> None:
+        system, file = self._file(path)
         sink = system.create(file, True)
-        sink.write(bytearray(version.encode()))
+        sink.write(bytearray(text.encode()))
         sink.close()
 
     @contextmanager
@@ -101,7 +107,7 @@ class Lake:
         """
         version = f"v{time.time_ns()}"
         yield replace(self, writing={**self.writing, layer: version})
-        self._switch(layer, version)
+        self._put(f"{self.root}/{layer}/{CURRENT}", version)
         if keep:
             self.trim(layer, keep)
 
@@ -153,18 +159,20 @@ class Lake:
         return write_table(records, path, mode="overwrite" if replace else "append")
 
     def rejects(self, layer: str = "silver") -> DataFrame:
-        return self.read(layer, contract.REJECTS)
+        return self.spark.read.schema(REJECT_ROWS).parquet(self.path(layer, contract.REJECTS))
 
     # --- ledger ---------------------------------------------------------------------
 
     def record(self, layer: str, table: str, rows: int, mode: str = "overwrite") -> None:
         """Notes a write. The counts come from the writes themselves, so no report has to read a table again."""
-        entry = [(layer, self.version(layer), table, rows, mode, time.time_ns())]
-        self.spark.createDataFrame(entry, LEDGER).coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
+        values = {
+            "layer": layer, "version": self.version(layer), "table_name": table, "nb_lignes": rows, "mode": mode, "at": time.time_ns(),
+        }
+        self._put(f"{self.root}/ledger/{values['at']}-{layer}-{table}.json", json.dumps(values))
 
     def counts(self, layer: str) -> DataFrame:
         """(table_name, nb_lignes) of the layer's version, from the ledger: the last overwrite and the appends after it."""
-        entries = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
+        entries = self.spark.read.schema(LEDGER).json(f"{self.root}/ledger")
         own = entries.where((F.col("layer") == layer) & F.col("version").eqNullSafe(F.lit(self.version(layer))))
         start = F.max(F.when(F.col("mode") == "overwrite", F.col("at"))).over(Window.partitionBy("table_name"))
         valid = own.withColumn("start", F.coalesce(start, F.lit(0))).where(F.col("at") >= F.col("start"))

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,7 +239,7 @@ def test_all_links_in_one_audit(spark):
         ("s.child", "o", "s.parent", 2, 4, 1),
     ])
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning(target") == 2  # by key, and the handful of sums
+    assert len(re.findall(r"hashpartitioning\(target#\d+, key#", plan)) == 1
 
 
 def test_distinct_counts_by_bitmap(spark):
