@@ -125,21 +125,17 @@ def frequency_classes(sets: DataFrame, slots: int = SLOTS) -> np.ndarray:
             np.add.at(counts, (flat & np.uint64(slots - 1)).astype(np.int64), 1)
         for k in range(0, slots, chunk):
             part = counts[k : k + chunk]
-            at = np.flatnonzero(part)
-            if len(at):
-                steps = np.diff(at, prepend=0).astype("<u2").tobytes()
-                yield _batch({
-                    "chunk": ([k], pa.int64()), "at": ([zlib.compress(steps, 1)], pa.binary()),
-                    "n": ([zlib.compress(part[at].astype("<u4").tobytes(), 1)], pa.binary()),
-                })
+            if part.any():  # byte by byte of the numbers, since most have but one
+                planes = part.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+                yield _batch({"chunk": ([k], pa.int64()), "n": ([zlib.compress(planes, 1)], pa.binary())})
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(chunk, np.int64)
-        for at, n in zip(parts["at"], parts["n"]):
-            total[np.cumsum(np.frombuffer(zlib.decompress(at), "<u2").astype(np.int64))] += np.frombuffer(zlib.decompress(n), "<u4")
+        for n in parts["n"]:
+            total += np.frombuffer(zlib.decompress(n), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
         return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "level": [np.log2(total + 1).astype(np.uint8).tobytes()]})
 
-    parts = sets.where("n > 0").select("tokens").mapInArrow(count, "chunk long, at binary, n binary")
+    parts = sets.where("n > 0").select("tokens").mapInArrow(count, "chunk long, n binary")
     out = np.zeros(slots, np.uint8)
     for k, level in parts.groupBy("chunk").applyInPandas(add, "chunk long, level binary").collect():
         out[k : k + chunk] = np.frombuffer(level, np.uint8)
@@ -315,7 +311,7 @@ def _live(rows: DataFrame, *spent: DataFrame) -> DataFrame:
     """The postings of keys whose sets are not all of one part, with the number of sets and the most central one; releases what it is made of."""
     groups = rows.groupBy("key").agg(
         F.count("*").alias("many"), F.min("part").alias("low"), F.max("part").alias("high"),
-        F.max(F.struct("central", "node", "n", "room", "part")).alias("lead"),
+        F.max(F.struct("central", "node"))["node"].alias("lead"),
     )
     live = store(rows.join(groups.where(F.col("low") != F.col("high")).select("key", "many", "lead"), "key"), "live")
     release(*spent)
@@ -332,7 +328,7 @@ def _after_leaders(live: DataFrame, found: list[DataFrame], shared: str) -> tupl
     parts = labels.select(F.col("node").alias("_node"), "label")
     met = found[-1].select(F.col("a").alias("_lead"), F.col("b").alias("_b"), F.col("common").alias(shared))
     led = F.col("many") > LISTED
-    rest = live.where(~led | (F.col("node") != F.col("lead.node"))).withColumn("_by", F.when(led, F.col("lead.node")))
+    rest = live.where(~led | (F.col("node") != F.col("lead"))).withColumn("_by", F.when(led, F.col("lead")))
     rest = rest.join(parts, F.col("node") == F.col("_node"), "left").withColumn("part", F.coalesce("label", "node"))
     rest = rest.join(met, (F.col("_by") == F.col("_lead")) & (F.col("node") == F.col("_b")), "left")
     return rest.drop("many", "lead", "_by", "_node", "label", "_lead", "_b"), labels
@@ -360,8 +356,8 @@ def links(sets: DataFrame) -> DataFrame:
     rounds = [f"shared_{k}" for k in range(LEADER_ROUNDS)]
     for shared in rounds:
         # All sets of the key meet its leader, also those that cannot link to it: what they share with it is used below.
-        led = live.where((F.col("many") > LISTED) & (F.col("node") != F.col("lead.node")))
-        pairs = led.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+        led = live.where((F.col("many") > LISTED) & (F.col("node") != F.col("lead")))
+        pairs = led.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
         found.append(verified(sets, store(pairs, "pairs")))
         rest, labels = _after_leaders(live, found, shared)
         live = _live(rest, live, labels)
