@@ -50,16 +50,16 @@ def flag_orphans(
     return found.select(*fact.columns, missing.alias(flag))
 
 
-def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose key is set but not in the parent."""
-    keys = parent.select(F.col(pk).alias(fk)).distinct()
-    return child.where(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
+def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, salts: int = 1) -> DataFrame:
+    """Child rows whose key is set but not in the parent; ``salts`` spreads a key that many rows share."""
+    flagged = flag_orphans(child, fk, parent, pk, "_orphan", salts)
+    return flagged.where("_orphan").select(*child.columns)
 
 
-def matched_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose key is in the parent."""
-    keys = parent.select(F.col(pk).alias(fk)).distinct()
-    return child.join(keys, fk, "left_semi")
+def matched_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, salts: int = 1) -> DataFrame:
+    """Child rows whose key is in the parent; ``salts`` as above."""
+    flagged = flag_orphans(child, fk, parent, pk, "_orphan", salts)
+    return flagged.where(~F.col("_orphan") & F.col(fk).isNotNull()).select(*child.columns)
 
 
 def with_default(

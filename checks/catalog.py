@@ -304,8 +304,8 @@ check("verdicts", "table_name:s; rule_id:s; nb_lignes:i", faults.rejects_sql())(
 def _(r):
     sales, customers = r.bronze["fait_ventes"], r.bronze["dim_client"]
     sides = {
-        "orphelin": orphan_rows(sales, "client_nk", customers, "client_nk"),
-        "rattache": matched_rows(sales, "client_nk", customers, "client_nk"),
+        "orphelin": orphan_rows(sales, "client_nk", customers, "client_nk", salts=8),
+        "rattache": matched_rows(sales, "client_nk", customers, "client_nk", salts=8),
     }
     return volumes(sides).withColumnRenamed("table_name", "genre")
 
