@@ -15,7 +15,8 @@ queries or vectors gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from math import fsum
+from fractions import Fraction
+from math import fsum, inf
 
 import numpy as np
 import pandas as pd
@@ -116,7 +117,23 @@ def train(x: np.ndarray, parts: int) -> tuple[Router | None, int]:
     np.put_along_axis(place, order[asked], np.arange(parts)[None, :].repeat(len(asked), 0), 1)
     visit = np.take_along_axis(place, order[true, 0], axis=1)
     found = np.array([(visit <= m).mean() for m in range(parts)])
-    return router, min(parts, int(np.argmax(found >= RECALL)) + 2)
+    return router, int(np.argmax(found >= RECALL)) + 1
+
+
+def inner(a: np.ndarray, b: np.ndarray) -> float:
+    """The inner product, summed exactly; where a product or the sum leaves the doubles on the way, in whole fractions."""
+    with np.errstate(over="ignore"):
+        products = a * b
+    if np.isfinite(products).all():
+        try:
+            return fsum(products.tolist())
+        except OverflowError:
+            pass
+    total = sum(Fraction(x) * Fraction(y) for x, y in zip(a.tolist(), b.tolist()))
+    try:
+        return float(total)
+    except OverflowError:
+        return inf if total > 0 else -inf
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -148,7 +165,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, sample: int
     classes = store(classes.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "classes")
     n = classes.count()
     if parts is None:
-        parts = int(min(MOST_PARTS, max(1, round(n**0.5 / 4)))) if n > 1500 else 1
+        parts = int(min(MOST_PARTS, round(n**0.5 / 4)))  # below 36 vectors there is one
     chosen = classes.select("vector").orderBy(F.xxhash64("vector")).limit(sample).toPandas() if n else None
     router, visits = train(_matrix(chosen["vector"]), parts) if n else (None, 1)
 
@@ -196,16 +213,18 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, sample: int
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(held):
             near, ids = _matrix(held["vector"]), held["ids"].tolist()
+            scaled = near / np.abs(near).max()
             take = min(len(near), k + 1)
             names = queries["query_id"].tolist()
             for a in range(0, len(queries), 512):
                 own = _matrix(queries["vector"][a : a + 512])
-                scores = own @ near.T
+                # Scaled, so that no product overflows; the order within a query stays.
+                scores = (own / np.abs(own).max(axis=1, keepdims=True)) @ scaled.T
                 best = np.argpartition(-scores, take - 1, axis=1)[:, :take]
                 for name, vector, row in zip(names[a : a + 512], own, best.tolist()):
                     found = []
                     for c in row:
-                        score = fsum((vector * near[c]).tolist())
+                        score = inner(vector, near[c])
                         found += [(-score, i) for i in ids[c] if i != name]
                     found = sorted(found)[:k]
                     out["query_id"] += [name] * len(found)

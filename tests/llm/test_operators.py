@@ -259,6 +259,34 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert set(got) == set(ids[queries].tolist()) and hits / (20 * len(queries)) >= 0.9
 
 
+@pytest.mark.parametrize("clusters", [0, 30])
+def test_neighbours_are_routed(spark, clusters):
+    """Fewer parts are visited than there are, and the neighbours are found all the same, with and without structure."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 16))
+    if clusters:
+        x = 0.3 * x + rng.normal(size=(clusters, 16))[rng.integers(0, clusters, 4000)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    parts = round(4000**0.5 / 4)
+    visits = neighbours.train(x, parts)[1]
+    assert visits < parts and (not clusters or visits <= parts // 2)
+    found = defaultdict(set)
+    for r in neighbours.search(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    scores = x[::20] @ x.T
+    scores[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    hits = sum(len(found[20 * q] & set(np.argsort(-scores[q])[:20].tolist())) for q in range(200))
+    assert hits / 4000 >= 0.9
+
+
+def test_neighbours_of_large_doubles(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, -1e200]), (2, [1e200, 2e200]), (3, [-1e200, -1e200]), (4, [1.0, 1.0])]
+    out = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    inf = float("inf")
+    assert [(r["vec_id"], r["score"]) for r in out] == [(2, inf), (4, 2e200), (1, 0.0), (3, -inf)]
+    assert neighbours.inner(np.array([1e308, 1e308, -1e308]), np.array([1.0, 1.0, 1.0])) == 1e308
+
+
 def test_neighbours_of_copies(spark):
     rows = [(i, [1.0, 0.0]) for i in range(60)] + [(60, [0.0, 1.0])]
     out = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
