@@ -40,7 +40,21 @@ def mark(filter_bytes: np.ndarray, at: np.ndarray) -> None:
 
 
 def _packed(part: np.ndarray) -> bytes:
-    return zlib.compress(part.tobytes(), 1)
+    """Few bits as the gaps between them, byte by byte of the numbers; many as they are."""
+    at = np.flatnonzero(np.unpackbits(part))
+    if 16 * len(at) < 8 * part.size:
+        gaps = np.diff(at, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4)
+        return b"g" + zlib.compress(gaps.T.tobytes(), 1)
+    return b"b" + zlib.compress(part.tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    body = np.frombuffer(zlib.decompress(raw[1:]), np.uint8)
+    if raw[:1] == b"b":
+        return body
+    bits = np.zeros(8 * CHUNK, np.uint8)
+    bits[np.cumsum(body.reshape(4, -1).T.copy().view("<u4").ravel())] = 1
+    return np.packbits(bits)
 
 
 def task_filters(key_batches: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], bits: int):
@@ -72,8 +86,8 @@ def _merge(parts: pd.DataFrame) -> pd.DataFrame:
     """A bit is in the merged second filter if a task has it there, or two tasks have it in their first."""
     once, twice = np.zeros(CHUNK, np.uint8), np.zeros(CHUNK, np.uint8)
     for a, b in zip(parts["once"], parts["twice"]):
-        own = np.frombuffer(zlib.decompress(a), np.uint8)
-        twice |= np.frombuffer(zlib.decompress(b), np.uint8) | (once & own)
+        own = _unpacked(a)
+        twice |= _unpacked(b) | (once & own)
         once |= own
     return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "once": [_packed(once)], "twice": [_packed(twice)]})
 
@@ -84,5 +98,5 @@ def build(rows: DataFrame, key_batches, bits: int, which: str = "twice") -> np.n
     merged = parts.groupBy("chunk").applyInPandas(_merge, "chunk long, once binary, twice binary").select("chunk", which)
     out = np.zeros(bits // 8, np.uint8)
     for chunk, part in merged.collect():
-        out[chunk : chunk + CHUNK] = np.frombuffer(zlib.decompress(part), np.uint8)
+        out[chunk : chunk + CHUNK] = _unpacked(part)
     return out

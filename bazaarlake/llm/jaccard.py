@@ -351,30 +351,37 @@ def links(sets: DataFrame) -> DataFrame:
     small = sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_LIGHT)).groupBy("n").agg(F.count("*").alias("c"))
     keys = Keys(frequency_classes(sets), light_boundary({r["n"]: r["c"] for r in small.collect()}))
     rows = store(postings(sets, keys), "postings")
-    live = _live(rows.withColumn("part", F.col("node")), rows)
-    found = []
+    many = store(rows.groupBy("key").agg(F.count("*").alias("sets")).where(F.col("sets") > LISTED).select("key"), "hot-keys")
+    # Only keys of many sets go through the rounds; the rows of all others stay where they are until pairs are listed.
+    live = _live(rows.join(many, "key", "left_semi").withColumn("part", F.col("node")))
+    found, labels = [], None
     rounds = [f"shared_{k}" for k in range(LEADER_ROUNDS)]
     for shared in rounds:
         # All sets of the key meet its leader, also those that cannot link to it: what they share with it is used below.
         led = live.where((F.col("many") > LISTED) & (F.col("node") != F.col("lead")))
         pairs = led.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
         found.append(verified(sets, store(pairs, "pairs")))
+        spent = [live] if labels is None else [live, labels]
         rest, labels = _after_leaders(live, found, shared)
-        live = _live(rest, live, labels)
-    other = live.select("key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "room", "part", *rounds)])
+        live = _live(rest, *spent)
+    few = rows.join(many, "key", "left_anti").join(labels.select(F.col("node").alias("_node"), "label"), F.col("node") == F.col("_node"), "left")
+    few = few.select("key", "node", "n", "room", F.coalesce("label", "node").alias("part"), *[F.lit(None).cast("long").alias(c) for c in rounds])
+    listed = few.unionByName(live.select(few.columns))
+    # Both sides alike, so that one exchange serves both.
+    one, two = (listed.select(*[F.col(c).alias(f"{side}_{c}") for c in listed.columns]) for side in ("a", "b"))
     enough = F.lit(True)
     for own in rounds:
         # Both met the leader of this round: what they share lies within what each shares with the leader, or outside of
         # it within what each has besides.
-        within = F.least(own, f"b_{own}") + F.least(F.col("n") - F.col(own), F.col("b_n") - F.col(f"b_{own}"))
-        fits = within * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("b_n")) * NUMERATOR
-        enough = enough & (F.col(own).isNull() | F.col(f"b_{own}").isNull() | fits)
-    listed = live.join(other, "key").where(
-        (F.col("node") < F.col("b_node")) & (F.col("part") != F.col("b_part")) & _can_link("room", "n", "b_room", "b_n") & enough
+        a, b = F.col(f"a_{own}"), F.col(f"b_{own}")
+        within = F.least(a, b) + F.least(F.col("a_n") - a, F.col("b_n") - b)
+        fits = within * (NUMERATOR + DENOMINATOR) >= (F.col("a_n") + F.col("b_n")) * NUMERATOR
+        enough = enough & (a.isNull() | b.isNull() | fits)
+    both = one.join(two, F.col("a_key") == F.col("b_key")).where(
+        (F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & _can_link("a_room", "a_n", "b_room", "b_n") & enough
     )
-    pairs = listed.select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
-    open_pairs = store(pairs, "open-pairs")
-    release(live)
+    open_pairs = store(both.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "open-pairs")
+    release(rows, many, live, labels)
     found.append(verified(sets, _close(sets, open_pairs)))
     linked = [f.where(_linked()).select("a_sig", "b_sig") for f in found]
     out = linked[0]
