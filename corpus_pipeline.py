@@ -63,8 +63,8 @@ STAGES = [
     ("BPE encoding and decoding", token_stage),
 ]
 
-#: The first stage is a trained model, which SQL cannot express. Tests run the stages one by one: the classifier's verdict is taken as given,
-#: the other four are compared with plain Python.
+#: The first stage is a trained model, which SQL cannot express. Tests run the stages one by one and check columns and counts; the operators
+#: that the stages call have tests of their own.
 ORACLE_SQL = None
 
 
