@@ -15,7 +15,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
         "row.doc_id", "result.n_email", "result.n_ip", "result.n_card", "result.n_phone",
-        F.sha2("result.base", 256).alias("base_sha256"), "result.spans",
+        F.sha2("result.base", 256).alias("base_sha256"), "result.spans", "result.n_spans",
     )
 
 

@@ -10,7 +10,7 @@ from checks.verify import rows_of
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_same_rows_as_sql(spark, folder, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings", "benchmark", "labels"):
         connection.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
     frame = queries.QUERIES[name](spark, folder)
     cursor = connection.execute(queries.SQL[name])
