@@ -7,9 +7,9 @@ suspects are shuffled, where exact counting confirms them and chooses the docume
 Keys are compared by a 128-bit digest. Filters have one size from the number of lines, at most ``bloom.MAX_BITS``; beyond it
 more lines are suspected and shuffled, and the result is the same.
 
-Defined cases: null text is one empty line; a document is a row, so repeated rows count as documents; the row or rows with
-the largest id keep the line (null ids are smallest); rows of one id drop the same keys; an empty table gives an empty
-result; other columns are carried along.
+Defined cases: null text is one empty line; documents are told apart by id, so repeated rows and other rows of one id count once, and
+rows without an id are one document; the row or rows with the largest id keep the line (null ids are smallest); rows of one id
+drop the same keys; an empty table gives an empty result; other columns are carried along.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def drop_repeated_lines(
     known = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     seen = store(suspects(docs, twice_filter(docs, least_chars, bits), least_chars), "line-suspects")
     repeated = (
-        seen.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+        seen.groupBy("key").agg(F.count_distinct(F.struct("doc_id")).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= least_documents).select("key", "keeper")
     )
     repeated = store(repeated, "line-repeats")

@@ -102,6 +102,14 @@ def test_lines_rule(documents, no_documents):
     assert lines.cleaned(documents).columns == documents.columns
 
 
+def test_lines_count_ids_not_rows(spark):
+    line = "a line that is long enough to count"
+    rows = [(1, line), (1, line), (2, line), (None, f"{line} x"), (None, f"{line} x"), (3, f"{line} x"), (4, f"{line} x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["row"]["doc_id"] or 0, r["result"]["n_dropped"]) for r in lines.drop_repeated_lines(docs).collect())
+    assert got == [(0, 1), (0, 1), (1, 0), (1, 0), (2, 0), (3, 1), (4, 0)]
+
+
 def test_lines_full_filter_gives_the_same(documents, monkeypatch):
     """A filter that suspects everything changes what is shuffled, not what is dropped."""
     monkeypatch.setattr(lines, "twice_filter", lambda *a: np.full(1 << 15, 255, np.uint8))
