@@ -20,6 +20,8 @@ from bazaarlake.llm.common import running_offsets, store
 
 SHARDS = 40
 BUCKET_BYTES = 16 << 20
+#: Offsets of so many buckets (16 bytes each) may be broadcast; beyond it they are joined by a shuffle.
+BROADCAST_BUCKETS = 1 << 20
 
 
 def size_of_row():
@@ -55,7 +57,9 @@ def into_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 0, bucket_byt
     """row, shard, slot. Shard k holds places k*n//shards up to (k+1)*n//shards of the shuffled table."""
     done = shuffled(docs, seed, bucket_bytes)
     counts = done.groupBy("bucket").agg(F.count("*").alias("rows"))
-    offsets = running_offsets(counts, "bucket", "rows").select("bucket", "offset")
+    offsets = store(running_offsets(counts, "bucket", "rows").select("bucket", "offset"), "shuffle-offsets")
+    if offsets.count() <= BROADCAST_BUCKETS:  # rows stay where they are
+        offsets = F.broadcast(offsets)
     total = done.agg(F.count("*").alias("n"))
     placed = done.join(offsets, "bucket").crossJoin(F.broadcast(total)).withColumn("at", F.col("offset") + F.col("place"))
     shard = F.expr(f"(({shards} * (at + 1) + n - 1) div n) - 1")
