@@ -1,8 +1,9 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source deals its documents in a seeded order, up to ``cap`` rounds. A dealing has the virtual finish time
-(words its source has dealt so far) / (target words of the source). The mix is all dealings by finish time until the total
-budget is reached; the cut is the last edge of 2**-20 of virtual time before the budget is passed.
+(words its source has dealt so far) / (target words of the source). All dealings are range-sorted by finish time, ties by
+source and by words dealt, and truncated where the total budget would be passed: ranges are summed, and only the range that
+crosses the budget is summed row by row.
 
 Defined cases: null text has no words; sources sort by code point, null last and a source of its own; documents without
 words are never taken; a table without words gets targets of 0; repeated rows are documents of their own; ties in the
@@ -11,14 +12,24 @@ seeded order are broken by id and text digest; other columns are carried along w
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import WORD, store
+from bazaarlake.llm.common import WORD, running_offsets, shared_folder, store
 
 #: Documents of a source in one task of the running sum.
 BUCKET_ROWS = 4096
-FINE = 1 << 20
+
+
+def words_of(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def measure(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and text digest of every document, stored: what a schedule needs of a text that it need not return."""
+    return store(docs.select("doc_id", "source", words_of("text").alias("size"), F.crc32("text").alias("digest")), "mix-measured")
 
 
 def _targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap: int) -> DataFrame:
@@ -46,30 +57,27 @@ def _targets(sized: DataFrame, weights: tuple[int, ...], share: float, cap: int)
     return filled.select("_source", "_nr", "_words", "_rows", target.alias("_target"), "_total")
 
 
-def _cut(placed: DataFrame, share: float, rounds: int) -> float:
-    """Virtual time at which the budget is spent, found on two histograms of at most a few thousand bins."""
-    time = F.explode(F.array(*[_finish(k) for k in range(rounds)]))
-    dealt = placed.select("_size", "_total", time.alias("_time")).where("_time <= 4")
+def _dealing(done: int) -> Column:
+    """The place of a row's dealing in round ``done``; null for rows that are never dealt."""
+    time = _finish(done)
+    return F.when(time.isNotNull(), F.struct(time.alias("time"), F.col("_nr").alias("nr"), (F.lit(done) * F.col("_words") + F.col("_dealt")).alias("dealt")))
+
+
+def _first_beyond(placed: DataFrame, share: float, rounds: int) -> tuple[float, int, int] | None:
+    """The first dealing that passes the budget; None if all fit. Dealings without rows are range-sorted and written; a file is a range."""
+    path = f"{shared_folder(placed.sparkSession)}/bazaarlake-mix-order-{uuid.uuid4().hex}"
+    dealt = placed.select("_size", F.explode(F.array(*[_dealing(k) for k in range(rounds)])).alias("at")).where("at is not null")
+    dealt.orderBy("at").write.option("maxRecordsPerFile", 0).parquet(path)
+    rows = placed.sparkSession.read.schema(dealt.schema).parquet(path)
+    rows = rows.withColumn("range", F.regexp_extract("_metadata.file_name", r"^part-(\d+)-", 1).cast("long"))
     budget = (placed.agg(F.max("_total")).first()[0] or 0) * share
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-
-    def spend(rows: DataFrame, width: int, before: int) -> tuple[int | None, int, int | None]:
-        """The last bin within the budget, the words up to it, and the first bin beyond."""
-        sums = rows.groupBy(F.ceil(F.col("_time") * width).alias("bin")).agg(F.sum("_size").alias("words"))
-        sums = sums.withColumn("words", F.sum("words").over(below) + before)
-        fits = F.col("words") <= budget
-        last, words, beyond = sums.agg(
-            F.max(F.when(fits, F.col("bin"))), F.max(F.when(fits, F.col("words"))), F.min(F.when(~fits, F.col("bin")))
-        ).first()
-        return last, words if words is not None else before, beyond
-
-    coarse = 1 << 10
-    last, spent, beyond = spend(dealt, coarse, 0)
-    edge = (last or 0) * (FINE // coarse)
-    if beyond is not None:
-        last, _, _ = spend(dealt.where(F.ceil(F.col("_time") * coarse) == beyond), FINE, spent)
-        edge = last if last is not None else edge
-    return edge / FINE
+    ranges = running_offsets(rows.groupBy("range").agg(F.sum("_size").alias("words")), "range", "words")
+    crossing = ranges.where(F.col("offset") + F.col("words") > budget).orderBy("range").select("range", "offset").first()
+    if crossing is None:
+        return None
+    inside = rows.where(F.col("range") == crossing["range"])
+    spent = F.sum("_size").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) + crossing["offset"]
+    return tuple(inside.select("at", spent.alias("spent")).where(F.col("spent") > budget).agg(F.min("at")).first()[0])
 
 
 def _finish(done: int) -> Column:
@@ -78,17 +86,22 @@ def _finish(done: int) -> Column:
 
 
 def schedule(
-    docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: int = 2, seed: str = "mix"
+    docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: int = 2, seed: str = "mix",
+    measured: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """row (all columns of ``docs``), size, source_size, target, taken (words), copies, first_finish."""
+    """row (all columns of ``docs``), size, source_size, target, taken (words), copies, first_finish.
+
+    ``measured`` names the columns of ``docs`` that hold size and text digest (``measure``), where the text itself need not travel.
+    """
+    size, digest = map(F.col, measured) if measured else (words_of("text"), F.crc32("text"))
     sized = docs.select(
         F.struct("*").alias("row"),
         F.col("source").alias("_source"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
+        size.alias("_size"),
         F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 15), 16, 10)
         .cast("long").alias("_order"),
         F.col("doc_id").alias("_id"),
-        F.crc32("text").alias("_crc"),
+        digest.alias("_crc"),
     )
     targets = store(_targets(sized, weights, share, cap), "mix-targets")
     known = sized.join(targets, sized["_source"].eqNullSafe(targets["_source"])).drop(targets["_source"])
@@ -105,9 +118,15 @@ def schedule(
         sums, (F.col("_nr") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))
     )
     placed = placed.withColumn("_dealt", F.col("_base") + F.col("_inside"))
-    placed = store(placed.select("row", "_size", "_words", "_target", "_total", "_dealt"), "mix-placed")
-    cut = _cut(placed, share, cap)
-    copies = sum((F.coalesce(_finish(k) <= F.lit(cut), F.lit(False)).cast("int") for k in range(cap)), F.lit(0))
+    placed = store(placed.select("row", "_nr", "_size", "_words", "_target", "_total", "_dealt"), "mix-placed")
+    beyond = _first_beyond(placed, share, cap)
+    if beyond is None:
+        taken = [_dealing(k).isNotNull() for k in range(cap)]
+    else:
+        time, nr, dealt = beyond
+        end = F.struct(F.lit(time).alias("time"), F.lit(nr).alias("nr"), F.lit(dealt).cast("long").alias("dealt"))
+        taken = [F.coalesce(_dealing(k) < end, F.lit(False)) for k in range(cap)]
+    copies = sum((t.cast("int") for t in taken), F.lit(0))
     return placed.select(
         "row", F.col("_size").alias("size"), F.col("_words").alias("source_size"), F.col("_target").alias("target"),
         (F.col("_size") * copies).alias("taken"), copies.alias("copies"), _finish(0).alias("first_finish"),

@@ -103,8 +103,7 @@ from sized group by conv_id
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    plan = mixing.schedule(docs.select("doc_id", "source", "text"))
+    plan = mixing.schedule(mixing.measure(read(spark, sf_dir, "documents")), measured=("size", "digest"))
     return plan.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
@@ -122,24 +121,23 @@ filled as (
             / sum(weight) over (order by 2 * words / weight, source nulls last rows between current row and unbounded following) as level
   from weighed),
 targets as (
-  select source, words, sum(words) over () as total,
+  select source, words, sum(words) over () as total, row_number() over (order by source nulls last) as nr,
          coalesce(least((2 * words)::double, max(level) filter (where level * weight <= 2 * words) over () * weight), (2 * words)::double) as target
   from filled),
 dealt as (
-  select s.doc_id, s.size, t.words, t.total, t.target,
+  select s.doc_id, s.size, t.words, t.total, t.target, t.nr,
          sum(s.size) over (partition by s.source order by s.place, s.doc_id rows unbounded preceding) as done
   from sized s join targets t on s.source is not distinct from t.source),
 timed as (
-  select doc_id, size, words, total, target, round,
+  select doc_id, size, words, total, target, nr, round * words + done as dealt,
          case when target > 0 and size > 0 then (round * words + done)::double / target end as finish
   from dealt, (values (0), (1)) as rounds(round)),
-bins as (
-  select bin, sum(words) over (order by bin) as spent, budget
-  from (select ceil(finish * 1048576) as bin, sum(size) as words, max(total) * 1.5 as budget from timed where finish <= 4 group by 1)),
-cut as (select coalesce(max(bin), 0) / 1048576 as edge from bins where spent <= budget)
+spent as (
+  select *, case when finish is not null then sum(size) over (order by finish nulls last, nr, dealt rows unbounded preceding) end as spent
+  from timed)
 select doc_id, any_value(size) as size, any_value(words) as source_size, any_value(target) as target,
-       (any_value(size) * count(*) filter (where finish <= edge))::bigint as taken
-from timed, cut group by doc_id
+       coalesce(sum(size) filter (where spent <= total * 1.5), 0)::bigint as taken
+from spent group by doc_id
 """
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

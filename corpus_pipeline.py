@@ -63,8 +63,8 @@ STAGES = [
     ("BPE encoding and decoding", token_stage),
 ]
 
-#: The first stage is a trained model, which SQL cannot express. Tests run the stages one by one and check columns and counts; the operators
-#: that the stages call have tests of their own.
+#: The first stage is a trained model, which SQL cannot express. Tests take its verdict as given and compare the rows of every stage with
+#: brute force (the last one's token counts with the tokenizers library).
 ORACLE_SQL = None
 
 
