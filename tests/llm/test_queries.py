@@ -1,5 +1,6 @@
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import duckdb
@@ -9,6 +10,7 @@ import corpus_pipeline
 from bazaarlake.llm import bpe, quality, queries
 from bazaarlake.llm.common import BLANKS, read, store
 from checks.verify import rows_of
+from tests.llm.test_operators import contract_spans
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -154,3 +156,29 @@ def test_near_copies_leave_one_row_of_a_group(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = corpus_pipeline.near_copy_stage(spark, docs, folder).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out) == [(0, ""), (1, text), (5, "")]
+
+
+def test_registered_pii_is_the_contract(spark, folder):
+    texts = {r["doc_id"]: r["text"] or "" for r in read(spark, folder, "documents").collect()}
+    out = queries.op1_pii(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(texts)
+    for r in out:
+        base = contract_spans(texts[r["doc_id"]])
+        names = ",".join(f"{('email', 'ip', 'card', 'phone')[k]}:{a}:{b}" for a, k, b in base)
+        assert r["base_sha256"] == hashlib.sha256(names.encode()).hexdigest()
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == kind for _, k, _ in base) for kind in range(4)]
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(names.split(",") if names else []) <= set(spans) and r["n_spans"] == len(spans)
+
+
+def test_registered_shuffle_is_the_contract(spark, folder):
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in read(spark, folder, "documents").collect()}
+    out = queries.op3_shuffle(spark, folder).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in out} == {i: (len(t) + 16, zlib.crc32(t)) for i, t in texts.items()}
+    slots = defaultdict(list)
+    for r in out:
+        assert r["law"] == "rows" and r["grown_shard"] is None
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(slots) == list(range(40)) and len(out) == len(texts)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
