@@ -253,6 +253,15 @@ def test_distinct_counts_by_bitmap(spark):
     assert (none.v, none.na) == (None, 0)
 
 
+def test_bitmaps_are_built_by_key_not_by_combination(spark):
+    bits = 32768
+    df = spark.range(0, 4000, 1, 2).select((F.col("id") % 7 * bits + 1).alias("a"), (F.col("id") % 11 * bits + 1).alias("b"), "id")
+    counted = distinct_counts(df, {"na": "a", "nb": "b"}, {"n": F.lit(1)})
+    assert counted.first().asDict() == {"n": 4000, "na": 7, "nb": 11}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bitmap_construct_agg(") == 1  # 7 + 11 bitmaps, not 7 * 11 times two
+
+
 def test_rows_are_numbered_where_they_lie(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(0, 10_000, 1, 7).select("id", (F.col("id") % 4 == 0).alias("rejected"))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import contract
 from bazaarlake.operators import calendar as cal
-from bazaarlake.plans import dashboard, gold, views, warehouse
+from bazaarlake.plans import dashboard, gold, silver, views, warehouse
 from bazaarlake.sources import files, jdbc
 from bazaarlake.sources.sql import register_views, run_query
 from bazaarlake.sources.tables import Lake, write_table
@@ -155,6 +155,21 @@ def test_gold_keeps_or_quarantines_every_sale(built):
     assert set(report.values()) == {"MATCH"} and lake.rejects("gold").count() == 0
 
 
+def test_rows_stay_where_the_key_check_dealt_them(spark, folder):
+    """Parents of the business key are joined last, so dropping copies and gold's lookup of the key need no shuffle of their own."""
+    shop = Retailer(spark, folder)
+    merge = silver.Options(join_strategy="merge")
+    parents = {n: shop.cleaned[n].valid for n in ("dim_magasin", "dim_produit", "dim_client")}
+    cleaned = silver.clean_sales(shop.bronze["fait_ventes"], parents, merge)
+    looked_up = gold.KeyMaps({"dim_produit": shop.gold["dim_produit"]}, "merge").attach(cleaned.rows, "dim_produit")
+    plan = looked_up._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(ticket_nk" not in plan and plan.count("WindowGroupLimit") >= 1
+    plain = silver.clean_sales(shop.bronze["fait_ventes"], parents)
+    assert cleaned.rows.exceptAll(plain.rows).isEmpty() and looked_up.count() == plain.rows.count() == 5670
+    reasons = lambda c: sorted(map(tuple, c.rejects.groupBy("reason", "rule_id").count().collect()))
+    assert reasons(cleaned) == reasons(plain)
+
+
 def test_refresh_drops_months_that_are_gone(spark, tmp_path):
     path = str(tmp_path / "months")
     two = spark.createDataFrame([(1, 202401), (2, 202402)], "v int, annee_mois int")
