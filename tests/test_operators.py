@@ -253,6 +253,20 @@ def test_distinct_counts_by_bitmap(spark):
     assert (none.v, none.na) == (None, 0)
 
 
+def test_numbering_written_rows_never_shuffles_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 5_000, 1, 5).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = number_written(spark, path, spark.range(1).schema, "sk")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "SortMergeJoin" not in plan
+        assert kept.agg(F.min("sk"), F.max("sk"), F.count_distinct("sk")).first()[:] == (1, 5000, 5000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_bitmaps_are_built_by_key_not_by_combination(spark):
     bits = 32768
     df = spark.range(0, 4000, 1, 2).select((F.col("id") % 7 * bits + 1).alias("a"), (F.col("id") % 11 * bits + 1).alias("b"), "id")

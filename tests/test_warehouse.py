@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from bazaarlake.plans import dashboard, gold, silver, views, warehouse
 from bazaarlake.sources import files, jdbc
 from bazaarlake.sources.sql import register_views, run_query
 from bazaarlake.sources.tables import Lake, write_table
+from checks import written
 from checks.landing import Retailer
 
 
@@ -170,6 +173,37 @@ def test_rows_stay_where_the_key_check_dealt_them(spark, folder):
     assert reasons(cleaned) == reasons(plain)
 
 
+def test_layer_runs_leave_no_staging_and_no_shuffles(built):
+    lake = built[0]
+    warehouse.run_silver(lake)
+    warehouse.run_gold(lake)
+    for layer in ("staging", "staging_gold"):
+        assert not any(lake.exists(layer, name) for name in contract.TABLES)
+    # The reports come from the ledger, which keeps the counts of what was staged.
+    assert as_dict(lake.counts("staging"), "table_name", "nb_lignes")["fait_ventes"] == 6184
+    assert lake.spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def test_a_write_drops_its_shuffles(spark, tmp_path):
+    import glob
+
+    local = spark.conf.get("spark.local.dir", os.environ.get("SPARK_LOCAL_DIRS", "/tmp"))
+    files = lambda: set(glob.glob(f"{local}/blockmgr-*/**/shuffle_*.data", recursive=True))
+    start = files()
+    spark.range(1000).repartition(3, "id").write.format("noop").mode("overwrite").save()
+    before = files()
+    assert before - start  # a plain query leaves its files
+    assert write_table(spark.range(1000).repartition(3, "id"), str(tmp_path / "t")) == 1000
+    assert not files() - before
+
+
+def test_silver_copies_need_no_gold(spark, folder):
+    lake = written.built(Retailer(spark, folder), "silver")
+    assert lake.exists("silver", "fait_retours")
+    again = written.built(Retailer(spark, folder), "bronze")
+    assert again is lake and as_dict(lake.counts("bronze"), "table_name", "nb_lignes")["fait_ventes"] == 6184
+
+
 def test_refresh_drops_months_that_are_gone(spark, tmp_path):
     path = str(tmp_path / "months")
     two = spark.createDataFrame([(1, 202401), (2, 202402)], "v int, annee_mois int")
