@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import bpe, chat, fingerprint, jaccard, lines, mixing, neighbours, pii, quality, sharding
-from bazaarlake.llm.common import read
+from bazaarlake.llm.common import numbered, read, store
 
 
 def brute_components(rows):
@@ -384,3 +384,20 @@ def test_neighbours_in_blocks_of_queries(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "QUERY_ROWS", 20)
     assert sorted(tuple(r) for r in neighbours.search(vectors, every=2).collect()) == whole
     assert len(whole) == 200 * 20 and 0 < sizes[0] <= 45
+
+
+def test_stored_tables_leave_no_shuffles(spark):
+    import glob
+    import os
+
+    local = spark.conf.get("spark.local.dir", os.environ.get("SPARK_LOCAL_DIRS", "/tmp"))
+    files = lambda: set(glob.glob(f"{local}/blockmgr-*/**/shuffle_*.data", recursive=True))
+    dealt = spark.range(1000).repartition(3, "id")
+    start = files()
+    dealt.write.format("noop").mode("overwrite").save()
+    before = files()
+    assert before - start  # a plain query leaves its files
+    kept = store(dealt, "test")
+    placed = numbered(dealt, [F.col("id")], "test")
+    assert not files() - before
+    assert kept.count() == 1000 and placed.agg(F.max("at")).first()[0] == 999
