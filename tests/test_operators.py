@@ -306,3 +306,26 @@ def test_order_totals(spark):
     lines = spark.createDataFrame([("o1", 2), ("o1", 3), ("o2", 1)], "commande_nk string, montant_ligne_ht int")
     orders = spark.createDataFrame([("o1", 5), ("o2", 2), ("o3", 0)], "commande_nk string, montant_total_ht int")
     assert rows(source_model.order_total_audit(orders, lines), "commande_nk", "total_lignes_ht") == [("o2", 1)]
+
+
+# --- facts meet dimensions -----------------------------------------------------------------
+
+
+def test_unread_left_lookup_is_left_out(spark):
+    fact = spark.createDataFrame([(1, "a", 10), (2, "x", 20), (3, None, 30)], "i int, k string, v int")
+    parent = spark.createDataFrame([("a", 7), ("b", 8)], "k string, sk int")
+    keyed = Lookup(parent, "k", ["sk"], one_row=True).attach(fact, "left")
+    assert rows(keyed, "i", "sk") == [(1, 7), (2, None), (3, None)]
+    unread = keyed.groupBy("i").agg(F.sum("v").alias("v"))
+    assert "Join" not in unread._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(unread, "i", "v") == [(1, 10), (2, 20), (3, 30)]
+
+
+def test_sales_meet_clients_once_and_stores_by_their_size(spark, folder):
+    """A view that reads no client key joins clients for the check alone; gold's parents come from an aggregate of their key."""
+    from checks.landing import Retailer
+
+    sales = Retailer(spark, folder).gold["fait_ventes"].groupBy("magasin_sk").agg(F.sum("montant_ttc"))
+    plan = sales._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join LeftOuter, \(client_nk", plan)) == 1
+    assert re.search(r"Aggregate \[magasin_nk#\d+\], \[magasin_nk#\d+, min\(magasin_sk", plan)
