@@ -15,6 +15,7 @@ single document is its own next one; an empty table gives an empty result; other
 from __future__ import annotations
 
 import hashlib
+import zlib
 from bisect import bisect_left
 
 import numpy as np
@@ -87,12 +88,13 @@ def chunks(texts: list[str]) -> list[dict[bytes, int]]:
 
 
 def packed(own: dict[bytes, int]) -> bytes:
-    return b"".join(d + n.to_bytes(2, "little") for d, n in own.items())
+    """Digests, each with a byte for its length, which is 1 to ``MOST``."""
+    return b"".join(d + (n - 1).to_bytes(1) for d, n in own.items())
 
 
 def unpacked(raw: bytes) -> dict[bytes, int]:
-    width = DIGEST + 2
-    return {raw[k : k + DIGEST]: int.from_bytes(raw[k + DIGEST : k + width], "little") for k in range(0, len(raw), width)}
+    width = DIGEST + 1
+    return {raw[k : k + DIGEST]: raw[k + DIGEST] + 1 for k in range(0, len(raw), width)}
 
 
 def written(own: dict[bytes, int]) -> str:
@@ -132,12 +134,20 @@ def fingerprint_texts(texts: pd.Series) -> pd.Series:
     return pd.Series([written(c) for a, b in _groups(texts) for c in chunks(texts[a:b])], dtype=object)
 
 
+def _squeezed(texts: pd.Series) -> pd.Series:
+    return pd.Series([zlib.compress((t or "").encode()) for t in texts], dtype=object)
+
+
+def _head(plain: str | None, squeezed: bytes | None) -> str:
+    return plain or "" if squeezed is None else zlib.decompress(squeezed).decode()
+
+
 COMPARED = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _compare(texts: pd.Series, heads: pd.Series, prints: pd.Series) -> pd.DataFrame:
+def _compare(texts: pd.Series, heads: pd.Series, squeezed: pd.Series, prints: pd.Series) -> pd.DataFrame:
     texts = [t or "" for t in texts]
-    edited = [t[: len(t) - len(t) // 4] + (h or "")[: len(t) // 4] for t, h in zip(texts, heads)]
+    edited = [t[: len(t) - len(t) // 4] + _head(h, s)[: len(t) // 4] for t, h, s in zip(texts, heads, squeezed)]
     rows = []
     for a, b in _groups(texts):
         for text, edit, own, new, after in zip(texts[a:b], edited[a:b], chunks(texts[a:b]), chunks(edited[a:b]), prints[a:b]):
@@ -147,7 +157,7 @@ def _compare(texts: pd.Series, heads: pd.Series, prints: pd.Series) -> pd.DataFr
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
-    """``ids`` (one row for each ``key``, with ``n``) and next_key, prev_key and prev_n in a circle.
+    """``ids`` (one row for each ``key``, with ``n`` and ``single``) and next_key, prev_key and prev_n in a circle.
 
     Keys are dealt by range; within a range the window finds the neighbours, and only the first and last key of each
     range meet in one small window.
@@ -164,26 +174,32 @@ def neighbours(ids: DataFrame) -> DataFrame:
         F.coalesce(F.lag("last_n").over(row), F.max_by("last_n", "last").over(whole)).alias("prev_last_n"),
     )
     inside = ranged.select(
-        "part", "key", F.lead("key").over(order).alias("next"), F.lag("key").over(order).alias("prev"), F.lag("n").over(order).alias("prev_n")
+        "part", "key", "single", F.lead("key").over(order).alias("next"), F.lag("key").over(order).alias("prev"), F.lag("n").over(order).alias("prev_n")
     )
     return inside.join(ends, "part").select(
-        "key", F.coalesce("next", "next_first").alias("next_key"), F.coalesce("prev", "prev_last").alias("prev_key"),
+        "key", "single", F.coalesce("next", "next_first").alias("next_key"), F.coalesce("prev", "prev_last").alias("prev_key"),
         F.when(F.col("prev").isNull(), F.col("prev_last_n")).otherwise(F.col("prev_n")).alias("prev_n"),
     )
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:
     """doc_id and, of each text: n_chars, digest of its edited text, both fingerprints, and likeness to the edited text and
-    the next document. The text is shuffled once; the next document's part in it is its head and its packed fingerprint."""
+    the next document. The text is shuffled once; the next document's part in it is its head, compressed unless its id has
+    several rows, whose smallest text stands for it, and its packed fingerprint."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_KEY)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = keyed.groupBy("key").agg(F.max(F.length("text")).alias("n"))
-    links = store(neighbours(ids).select(F.col("key").alias("link"), "prev_key", "prev_n"), "links")
-    known = keyed.join(links, F.col("key") == F.col("link")).select("key", "text", "prev_key", "prev_n")
+    ids = keyed.groupBy("key").agg(F.max(F.length("text")).alias("n"), (F.count("*") == 1).alias("single"))
+    links = store(neighbours(ids).select(F.col("key").alias("link"), "prev_key", "prev_n", "single"), "links")
+    known = keyed.join(links, F.col("key") == F.col("link")).select("key", "text", "prev_key", "prev_n", "single")
+    head = F.expr("left(text, cast(prev_n div 4 as int))")
     heads = known.select(
         F.col("prev_key").alias("of"),
-        F.struct(F.expr("left(text, cast(prev_n div 4 as int))").alias("head"), F.pandas_udf(_packed_column, "binary")("text").alias("print")).alias("after"),
+        F.struct(
+            F.when(~F.col("single"), head).alias("head"),
+            F.when(F.col("single"), F.pandas_udf(_squeezed, "binary")(head)).alias("squeezed"),
+            F.pandas_udf(_packed_column, "binary")("text").alias("print"),
+        ).alias("after"),
     )
     heads = heads.groupBy("of").agg(F.min("after").alias("after"))
     out = known.join(heads, F.col("key") == F.col("of"))
     doc_id = F.when(F.col("key") != LAST_KEY, F.col("key")).alias("doc_id")
-    return out.select(doc_id, F.pandas_udf(_compare, COMPARED)("text", "after.head", "after.print").alias("r")).select("doc_id", "r.*")
+    return out.select(doc_id, F.pandas_udf(_compare, COMPARED)("text", "after.head", "after.squeezed", "after.print").alias("r")).select("doc_id", "r.*")

@@ -401,3 +401,28 @@ def test_stored_tables_leave_no_shuffles(spark):
     placed = numbered(dealt, [F.col("id")], "test")
     assert not files() - before
     assert kept.count() == 1000 and placed.agg(F.max("at")).first()[0] == 999
+
+
+def test_next_texts_are_shuffled_compressed(spark):
+    """The head of the next document travels compressed, plain only where the next id has several rows (the smallest text counts)."""
+    words = ["alpha", "beta", "gamma", "delta", "épée", "zeta"]
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice(words) for _ in range(400))
+    rows = [(1, text()), (2, text()), (3, text()), (3, text()), (4, None), (5, text()), (None, text())]
+    smallest = {i: min(t or "" for j, t in rows if j == i) for i, _ in rows}
+    after = {1: 2, 2: 3, 3: 4, 4: 5, 5: None, None: 1}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = fingerprint.compare_with_edits(docs)
+    want = []
+    for i, t in rows:
+        t = t or ""
+        edit = t[: len(t) - len(t) // 4] + smallest[after[i]][: len(t) // 4]
+        want.append((i or 0, len(t), hashlib.sha256(edit.encode()).hexdigest()))
+    assert sorted((r["doc_id"] or 0, r["n_chars"], r["edited_sha256"]) for r in out.collect()) == sorted(want)
+    assert "_squeezed" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_fingerprint_keeps_all_lengths():
+    own = {bytes([n % 256, n // 256, 0, 0, 0, 0]): n for n in range(1, fingerprint.MOST + 1)}
+    raw = fingerprint.packed(own)
+    assert fingerprint.unpacked(raw) == own and len(raw) == (fingerprint.DIGEST + 1) * len(own)
