@@ -43,12 +43,16 @@ LISTED = 32  # sets of a key whose pairs are listed at once
 LEADER_ROUNDS = 2  # for keys of more sets, before the pairs that are still open are listed
 LARGEST_LIGHT = 64
 SCAN_COST = 2.0  # of a list entry, in rows of subsets
-CACHE_WORDS = 250_000
+CACHE_WORDS = 50_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class _WordHashes(dict):
+    """Never more than ``CACHE_WORDS`` words, however many a batch has."""
+
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
@@ -98,8 +102,6 @@ def sets_of(docs: DataFrame) -> DataFrame:
     def run(batches):
         cache = _WordHashes()
         for batch in batches:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
             own = [shingle_hashes(t, cache) for t in batch.column(1).to_pylist()]
             sigs = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in own]
             yield pa.RecordBatch.from_arrays(

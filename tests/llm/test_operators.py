@@ -426,3 +426,10 @@ def test_packed_fingerprint_keeps_all_lengths():
     own = {bytes([n % 256, n // 256, 0, 0, 0, 0]): n for n in range(1, fingerprint.MOST + 1)}
     raw = fingerprint.packed(own)
     assert fingerprint.unpacked(raw) == own and len(raw) == (fingerprint.DIGEST + 1) * len(own)
+
+
+def test_word_cache_is_bounded_within_a_batch():
+    cache = jaccard._WordHashes()
+    text = " ".join(f"w{k % (jaccard.CACHE_WORDS + 7)}" for k in range(2 * jaccard.CACHE_WORDS))
+    assert np.array_equal(jaccard.shingle_hashes(text, cache), jaccard.shingle_hashes(text, jaccard._WordHashes()))
+    assert 0 < len(cache) <= jaccard.CACHE_WORDS
