@@ -14,6 +14,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from bazaarlake.sources.tables import shuffles_dropped
+
 PROBES = 3
 MAX_BITS = 1 << 30
 CHUNK = 1 << 15  # bytes of a filter that are merged together
@@ -79,10 +81,11 @@ def _merge(parts: pd.DataFrame) -> pd.DataFrame:
 
 
 def build(rows: DataFrame, key_batches, bits: int, which: str = "twice") -> np.ndarray:
-    """The merged filter (bits / 8 bytes) of the keys in ``rows``; its chunks come to the driver one by one."""
-    parts = rows.mapInArrow(task_filters(key_batches, bits), "chunk long, once binary, twice binary")
-    merged = parts.groupBy("chunk").applyInPandas(_merge, "chunk long, once binary, twice binary").select("chunk", which)
+    """The merged filter (bits / 8 bytes) of the keys in ``rows``; its chunks come to the driver one by one, then their shuffle goes."""
     out = np.zeros(bits // 8, np.uint8)
-    for chunk, part in merged.collect():
-        out[chunk : chunk + CHUNK] = np.frombuffer(zlib.decompress(part), np.uint8)
+    with shuffles_dropped(rows.sparkSession):
+        parts = rows.mapInArrow(task_filters(key_batches, bits), "chunk long, once binary, twice binary")
+        merged = parts.groupBy("chunk").applyInPandas(_merge, "chunk long, once binary, twice binary").select("chunk", which)
+        for chunk, part in merged.collect():
+            out[chunk : chunk + CHUNK] = np.frombuffer(zlib.decompress(part), np.uint8)
     return out

@@ -12,7 +12,7 @@ so they share one of their first s - ceil(0.8 s) + 1 shingles, and two of one mo
   whose every key has a bound too low is not a candidate; the first key in common of a link never has.
 * A key with many sets is not spread into pairs. Its most central set leads: all others are compared with it. What links
   falls into one component and needs no more comparing, and what a set shares with the leader bounds what it shares with others.
-  After two leaders only the pairs that are still open are listed, and 512 parity bits of each set rule out most of those.
+  After two leaders only the pairs that are still open are listed, and parity bits, about one for each shingle, rule out most of those.
 * Every candidate pair is verified on the whole sets. Components come from rounds of joins that end when nothing changes.
 
 Equal sets are one node from the start, so copies cost nothing. Repeated rows are copies. Null ids: a component's id is the
@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.bloom import bits_for, build, holds, positions
 from bazaarlake.llm.common import release, store
+from bazaarlake.sources.tables import shuffles_dropped
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 4, 5  # 0.8
 BYTES = 5  # kept of a shingle's hash
 SLOTS = 1 << 20  # of the table of counts
-WORDS = 8  # of 64 parity bits
+LEAST_PARITY = 512  # parity bits of a set
 LISTED = 32  # sets of a key whose pairs are listed at once
 LEADER_ROUNDS = 2  # for keys of more sets, before the pairs that are still open are listed
 LARGEST_LIGHT = 64
@@ -90,10 +91,18 @@ def _batch(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.Reco
 
 
 def parity_bits(tokens: np.ndarray) -> np.ndarray:
-    """64 * WORDS bits: whether an odd number of the set's shingles falls on each. Two sets differ in at least as many shingles
-    as their bits differ in places."""
-    counts = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS)
-    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+    """Whether an odd number of the set's shingles falls on each of as many places as the set has shingles, rounded up to a power of two:
+    fewer would all be alike to chance in large sets. Two sets differ in at least as many shingles as their bits differ in places."""
+    width = max(LEAST_PARITY, 1 << (len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % width, minlength=width)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.uint64)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many places the parity bits of two sets differ, the wider ones folded to the width of the others."""
+    width = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(bits.reshape(-1, width), axis=0) for bits in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -108,12 +117,12 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array([len(s) for s in own], pa.int64()),
                  pa.array([None if s is None else int.from_bytes(s[:8], "little", signed=True) for s in sigs], pa.int64()),
                  pa.array(sigs, pa.binary()), pa.array([pack(s) for s in own], pa.binary()),
-                 pa.array([parity_bits(s) for s in own], pa.list_(pa.int64()))],
+                 pa.array([parity_bits(s).tobytes() for s in own], pa.binary())],
                 ["doc_id", "n", "node", "sig", "tokens", "bits"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, sig binary, tokens binary, bits array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, sig binary, tokens binary, bits binary")
 
 
 def frequency_classes(sets: DataFrame, slots: int = SLOTS) -> np.ndarray:
@@ -137,10 +146,11 @@ def frequency_classes(sets: DataFrame, slots: int = SLOTS) -> np.ndarray:
             total += np.frombuffer(zlib.decompress(n), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
         return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "level": [np.log2(total + 1).astype(np.uint8).tobytes()]})
 
-    parts = sets.where("n > 0").select("tokens").mapInArrow(count, "chunk long, n binary")
     out = np.zeros(slots, np.uint8)
-    for k, level in parts.groupBy("chunk").applyInPandas(add, "chunk long, level binary").collect():
-        out[k : k + chunk] = np.frombuffer(level, np.uint8)
+    with shuffles_dropped(sets.sparkSession):
+        parts = sets.where("n > 0").select("tokens").mapInArrow(count, "chunk long, n binary")
+        for k, level in parts.groupBy("chunk").applyInPandas(add, "chunk long, level binary").collect():
+            out[k : k + chunk] = np.frombuffer(level, np.uint8)
     return out
 
 
@@ -226,8 +236,8 @@ def postings(sets: DataFrame, keys: Keys) -> DataFrame:
     return rows.groupBy("key", "node").agg(*[F.max(c).alias(c) for c in ("n", "central", "room")])
 
 
-def with_sets(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, sig, n, tokens of ``nodes`` (one column), once each, in partitions by node.
+def with_sets(sets: DataFrame, nodes: DataFrame, what: str = "tokens") -> DataFrame:
+    """node, sig, n, tokens (or ``what`` else) of ``nodes`` (one column), once each, in partitions by node.
 
     A task passes a set on once, so copies meet in the shuffle once for each task.
     """
@@ -251,7 +261,7 @@ def with_sets(sets: DataFrame, nodes: DataFrame) -> DataFrame:
                     passed.add(sig)
                 yield batch.filter(pa.array(hit))
 
-    some = sets.where("n >= 4").select("node", "sig", "n", "tokens").mapInArrow(run, "node long, sig binary, n long, tokens binary")
+    some = sets.where("n >= 4").select("node", "sig", "n", what).mapInArrow(run, f"node long, sig binary, n long, {what} binary")
     return some.repartition("node").dropDuplicates(["node", "sig"])
 
 
@@ -336,14 +346,17 @@ def _after_leaders(live: DataFrame, found: list[DataFrame], shared: str) -> tupl
     return rest.drop("many", "lead", "_by", "_node", "label", "_lead", "_b"), labels
 
 
+def _differing(first: pd.Series, second: pd.Series) -> pd.Series:
+    return pd.Series([differing(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(first, second)], dtype="int64")
+
+
 def _close(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the stored pairs, which it releases, whose parity bits do not rule a link out: linked sets differ in at most a ninth of their sizes' sum."""
-    known = sets.where("n >= 4").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    known = store(known, "bits")
+    known = store(with_sets(sets, pairs.select("a").union(pairs.select("b")).distinct(), "bits"), "bits")
     one, two = (known.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("bits").alias(f"{k}_bits")) for k in ("a", "b"))
-    places = sum(F.bit_count(F.col("a_bits")[k].bitwiseXOR(F.col("b_bits")[k])) for k in range(WORDS))
-    both = pairs.join(one, "a").join(two, "b")
-    near = store(both.where(places * (NUMERATOR + DENOMINATOR) <= F.col("a_n") + F.col("b_n")).select("a", "b"), "pairs")
+    places = F.pandas_udf(_differing, "long")("a_bits", "b_bits")
+    both = pairs.join(two, "b").join(one, "a").withColumn("places", places)
+    near = store(both.where(F.col("places") * (NUMERATOR + DENOMINATOR) <= F.col("a_n") + F.col("b_n")).select("a", "b").distinct(), "pairs")
     release(known, pairs)
     return near
 

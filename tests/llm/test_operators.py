@@ -92,6 +92,19 @@ def test_jaccard_bits_and_packing():
     assert (jaccard.unpack(jaccard.pack(one)) == one >> np.uint64(24)).all()
 
 
+def test_jaccard_bits_tell_large_sets_apart():
+    """Sets of thousands of shingles: whole copies differ in few places, others in too many to link, whatever the widths."""
+    rng = np.random.default_rng(5)
+    for n, m in ((1500, 1500), (4000, 4000), (4000, 4500), (9000, 8000)):
+        one = rng.integers(0, 1 << 63, n, np.uint64)
+        near = np.concatenate([one[n // 20 :], rng.integers(0, 1 << 63, n // 20, np.uint64)])
+        half = np.concatenate([one[n // 2 :], rng.integers(0, 1 << 63, m - n // 2, np.uint64)])
+        bits = [jaccard.parity_bits(tokens) for tokens in (one, near, half)]
+        assert jaccard.differing(bits[0], bits[1]) <= len(np.setxor1d(one, near)) <= (2 * n) / 9
+        assert jaccard.differing(bits[0], bits[2]) <= len(np.setxor1d(one, half))
+        assert jaccard.differing(bits[0], bits[2]) > (n + m) / 9
+
+
 def test_lines_rule(documents, no_documents):
     got = {r["row"]["doc_id"]: r["result"] for r in lines.drop_repeated_lines(documents, bits=1 << 18).collect()}
     assert got[5]["kept"] == "one\nalpha" and got[5]["n_dropped"] == 1
