@@ -197,7 +197,7 @@ class Keys:
 
 
 def postings(sets: DataFrame, keys: Keys) -> DataFrame:
-    """key, node, n, central, room of every key that is not of one set alone.
+    """key, node, n, central, room of every key that is not of one set alone, stored, after which the broadcast filter goes.
 
     ``room`` is the set's size without the shingles that stand before the key, so it bounds what the set shares with a set
     whose first key in common this is, and no other.
@@ -233,7 +233,9 @@ def postings(sets: DataFrame, keys: Keys) -> DataFrame:
                 yield _batch({c: (np.concatenate(v), pa.int64()) for c, v in zip(("key", "node", "n", "central", "room"), out)})
 
     rows = source.mapInArrow(run, "key long, node long, n long, central long, room long")
-    return rows.groupBy("key", "node").agg(*[F.max(c).alias(c) for c in ("n", "central", "room")])
+    done = store(rows.groupBy("key", "node").agg(*[F.max(c).alias(c) for c in ("n", "central", "room")]), "postings")
+    twice.destroy()  # every executor keeps a copy on its disk
+    return done
 
 
 def with_sets(sets: DataFrame, nodes: DataFrame, what: str = "tokens") -> DataFrame:
@@ -365,7 +367,7 @@ def links(sets: DataFrame) -> DataFrame:
     """a, b (digests of sets), stored: links whose components are those of all links of the join."""
     small = sets.where((F.col("n") > 0) & (F.col("n") <= 2 * LARGEST_LIGHT)).groupBy("n").agg(F.count("*").alias("c"))
     keys = Keys(frequency_classes(sets), light_boundary({r["n"]: r["c"] for r in small.collect()}))
-    rows = store(postings(sets, keys), "postings")
+    rows = postings(sets, keys)
     many = store(rows.groupBy("key").agg(F.count("*").alias("sets")).where(F.col("sets") > LISTED).select("key"), "hot-keys")
     # Only keys of many sets go through the rounds; the rows of all others stay where they are until pairs are listed.
     live = _live(rows.join(many, "key", "left_semi").withColumn("part", F.col("node")))

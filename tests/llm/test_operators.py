@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import bpe, chat, fingerprint, jaccard, lines, mixing, neighbours, pii, quality, sharding
@@ -105,6 +106,17 @@ def test_jaccard_bits_tell_large_sets_apart():
         assert jaccard.differing(bits[0], bits[2]) > (n + m) / 9
 
 
+def test_jaccard_filter_goes_after_its_use(spark, monkeypatch):
+    """Postings stand stored, with their rows, once the broadcast filter that every executor holds on disk is destroyed."""
+    gone, destroy = [], Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (gone.append(self), destroy(self, *a)))
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[1:]))], "doc_id long, text string")
+    rows = jaccard.postings(jaccard.sets_of(docs), jaccard.Keys(np.zeros(1 << 10, np.uint8), 8))
+    assert len(gone) == 1
+    assert rows.groupBy("key").count().where("count = 2").count() > 0
+
+
 def test_lines_rule(documents, no_documents):
     got = {r["row"]["doc_id"]: r["result"] for r in lines.drop_repeated_lines(documents, bits=1 << 18).collect()}
     assert got[5]["kept"] == "one\nalpha" and got[5]["n_dropped"] == 1
