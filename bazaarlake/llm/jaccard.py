@@ -7,7 +7,7 @@ so they share one of their first s - ceil(0.8 s) + 1 shingles, and two of one mo
 * Light sets (at most ``boundary`` shingles) list all pairs of their prefix as keys; heavy sets list the single shingles
   of theirs, and so do light sets that are large enough to link to a heavy one. The boundary is the size at which the
   rows of both sides cost least, from a histogram of set sizes.
-* A Bloom filter of keys seen twice leaves the keys of one set only where they are; the others are shuffled.
+* All keys are shuffled once, and those of one set alone end there: no filter of keys, whose size would have to grow with the input.
 * A key bounds what two sets share: if it is their first in common, what stands before it in either set is not shared. A pair
   whose every key has a bound too low is not a candidate; the first key in common of a link never has.
 * A key with many sets is not spread into pairs. Its most central set leads: all others are compared with it. What links
@@ -77,13 +77,21 @@ def shingle_hashes(text: str | None, cache: dict) -> np.ndarray:
 
 
 def pack(tokens: np.ndarray) -> bytes:
-    return (tokens >> np.uint64(64 - 8 * BYTES)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :].tobytes()
+    """The first 40 bits of sorted hashes as gaps: their number, four bytes of each gap, then the fifth bytes compressed, which are
+    nearly all 0 in large sets."""
+    if not len(tokens):
+        return b""
+    gaps = np.diff(tokens >> np.uint64(64 - 8 * BYTES), prepend=np.uint64(0))
+    high = (gaps >> np.uint64(32)).astype(np.uint8).tobytes()
+    return len(gaps).to_bytes(4, "little") + (gaps & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + zlib.compress(high, 1)
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // BYTES, 8), np.uint8)
-    out[:, 8 - BYTES :] = np.frombuffer(raw, np.uint8).reshape(-1, BYTES)
-    return out.view(">u8").ravel().astype(np.uint64)
+    if not raw:
+        return np.empty(0, np.uint64)
+    n = int.from_bytes(raw[:4], "little")
+    high = np.frombuffer(zlib.decompress(raw[4 + 4 * n :]), np.uint8).astype(np.uint64)
+    return np.cumsum(high << np.uint64(32) | np.frombuffer(raw, "<u4", n, 4), dtype=np.uint64)
 
 
 def _batch(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.RecordBatch:
@@ -132,8 +140,8 @@ def frequency_classes(sets: DataFrame, slots: int = SLOTS) -> np.ndarray:
     def count(batches):
         counts = np.zeros(slots, np.int64)
         for batch in batches:
-            flat = unpack(b"".join(batch.column(0).to_pylist()))
-            np.add.at(counts, (flat & np.uint64(slots - 1)).astype(np.int64), 1)
+            for raw in batch.column(0).to_pylist():
+                np.add.at(counts, (unpack(raw) & np.uint64(slots - 1)).astype(np.int64), 1)
         for k in range(0, slots, chunk):
             part = counts[k : k + chunk]
             if part.any():  # byte by byte of the numbers, since most have but one
@@ -197,44 +205,37 @@ class Keys:
 
 
 def postings(sets: DataFrame, keys: Keys) -> DataFrame:
-    """key, node, n, central, room of every key that is not of one set alone, stored, after which the broadcast filter goes.
+    """key, node, n, central, room of every key of two sets or more, stored, after which the broadcast order goes.
 
-    ``room`` is the set's size without the shingles that stand before the key, so it bounds what the set shares with a set
-    whose first key in common this is, and no other.
+    All keys meet in one shuffle, and those of one set alone go no further. A task passes a set on once, so copies meet once for
+    each task. ``room`` is the set's size without the shingles that stand before the key, so it bounds what the set shares with
+    a set whose first key in common this is, and no other.
     """
-    spark = sets.sparkSession
-    shared = spark.sparkContext.broadcast(keys)
-    source = sets.where("n >= 4").select("tokens", "node", "n")
-    total = source.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 0.8) + 1)).first()[0] or 1
-    bits = bits_for(total)
-
-    def doubled(k: np.ndarray) -> np.ndarray:
-        return np.column_stack([k, _mixed(k)])
-
-    def key_batches(batches):
-        for batch in batches:
-            found = [shared.value.of(unpack(raw))[0] for raw in batch.column(0).to_pylist()]
-            yield doubled(np.concatenate(found)) if found else np.empty((0, 2), np.uint64)
-
-    twice = spark.sparkContext.broadcast(build(source, key_batches, bits))
+    shared = sets.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches):
+        passed: set[bytes] = set()
         for batch in batches:
             out = [[], [], [], [], []]
-            for raw, node, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for raw, node, n, sig in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if sig in passed:
+                    continue
+                passed.add(sig)
                 own, room, central = shared.value.of(unpack(raw))
-                again = holds(twice.value, positions(doubled(own), bits))
-                own = own[again]
                 out[0].append(own.view(np.int64))
-                for k, value in ((1, node), (2, n), (3, central)):
+                out[1].append(room)
+                for k, value in ((2, node), (3, n), (4, central)):
                     out[k].append(np.full(len(own), value, np.int64))
-                out[4].append(room[again])
             if out[0]:
-                yield _batch({c: (np.concatenate(v), pa.int64()) for c, v in zip(("key", "node", "n", "central", "room"), out)})
+                yield _batch({c: (np.concatenate(v), pa.int64()) for c, v in zip(("key", "room", "node", "n", "central"), out)})
 
-    rows = source.mapInArrow(run, "key long, node long, n long, central long, room long")
+    source = sets.where("n >= 4").select("tokens", "node", "n", "sig")
+    # What a set's rows have in common stands together, so that the shuffle's compression finds it.
+    rows = source.mapInArrow(run, "key long, room long, node long, n long, central long")
+    own = Window.partitionBy("key")
+    rows = rows.withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own)).where("low <> high")
     done = store(rows.groupBy("key", "node").agg(*[F.max(c).alias(c) for c in ("n", "central", "room")]), "postings")
-    twice.destroy()  # every executor keeps a copy on its disk
+    shared.destroy()  # every executor keeps a copy on its disk
     return done
 
 

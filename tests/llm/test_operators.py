@@ -117,6 +117,33 @@ def test_jaccard_filter_goes_after_its_use(spark, monkeypatch):
     assert rows.groupBy("key").count().where("count = 2").count() > 0
 
 
+def test_jaccard_postings_need_no_filter(spark, monkeypatch):
+    """Keys of one set, also where it stands several times, go no further, however many keys there are for a filter of bounded size; all others stay."""
+    from bazaarlake.llm import bloom
+
+    monkeypatch.setattr(bloom, "MAX_BITS", 1 << 12)
+    texts = [" ".join(f"d{i}x{k}" for k in range(400)) for i in range(12)]
+    texts += [texts[0] + " tail", texts[1], texts[1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = jaccard.sets_of(docs.repartition(3))
+    keys = jaccard.Keys(np.zeros(1 << 10, np.uint8), 8)
+    of = {r["node"]: set(keys.of(jaccard.unpack(r["tokens"]))[0].view(np.int64).tolist()) for r in sets.collect()}
+    want = sorted((k, node) for node, own in of.items() for k in own if sum(k in other for other in of.values()) > 1)
+    rows = jaccard.postings(sets, keys)
+    assert len(want) >= 100
+    assert sorted(map(tuple, rows.select("key", "node").collect())) == want
+
+
+def test_jaccard_sets_are_kept_as_gaps():
+    """Whole sets come back, also empty ones and gaps of every width; large ones take less than five bytes a shingle."""
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 60, 5000):
+        tokens = np.unique(np.concatenate([rng.integers(0, 1 << 64, n, np.uint64), np.array([0, 1 << 24, (1 << 64) - 1][:n], np.uint64)]))
+        raw = jaccard.pack(tokens)
+        assert np.array_equal(jaccard.unpack(raw), tokens >> np.uint64(24))
+    assert len(raw) < 4.5 * len(tokens)
+
+
 def test_lines_rule(documents, no_documents):
     got = {r["row"]["doc_id"]: r["result"] for r in lines.drop_repeated_lines(documents, bits=1 << 18).collect()}
     assert got[5]["kept"] == "one\nalpha" and got[5]["n_dropped"] == 1
